@@ -37,7 +37,15 @@ def line_protocol_name(name: Column | str) -> Column:
     return F.replace(F.replace(name, F.lit(" "), F.lit("_")), F.lit(","), F.lit("\\,"))
 
 
+def round_half_up(value: Column | str, digits: int) -> Column:
+    """Round as the serving SQL does: scale, round halves away from zero, scale back."""
+    column = F.col(value) if isinstance(value, str) else value
+    factor = F.lit(10.0**digits)
+    return F.signum(column) * F.floor(F.abs(column) * factor + 0.5) / factor
+
+
 def celsius(milli: Column | str) -> Column:
+    """Thousandths of a degree -> degrees, two digits, halves up."""
     return F.round(F.col(milli) / 1000 if isinstance(milli, str) else milli / 1000, 2)
 
 

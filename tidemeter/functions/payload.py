@@ -103,7 +103,11 @@ def typed_members(members: Column, first_position: int = 0) -> Column:
 
 
 def last_per_name(items: Column) -> Column:
-    """Of the structs (name, pos, ...) keep the last one of every name; one sort per row."""
+    """Of the structs (name, pos, ...) keep the last one of every name.
+
+    Names are usually distinct already; only if they are not is the array sorted, once, and each
+    item compared with its successor.
+    """
 
     def keep(ordered: Column) -> Column:
         following = F.slice(ordered, F.lit(2), F.size(ordered))
@@ -113,7 +117,11 @@ def last_per_name(items: Column) -> Column:
         )
         return F.transform(kept, lambda p: p["item"])
 
-    return let(F.sort_array(items), keep)
+    def choose(given: Column) -> Column:
+        distinct = F.size(F.array_distinct(F.transform(given, lambda item: item["name"])))
+        return F.when(distinct == F.size(given), given).otherwise(let(F.sort_array(given), keep))
+
+    return let(items, choose)
 
 
 def typed_fields(members: Column) -> Column:

@@ -7,11 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemeter.functions.columns import let
 from tidemeter.functions.payload import VARIANT_MAP
 from tidemeter.schemas import FIELD_RENAMES, MERGED_PLUGIN, PLUGIN_RESOURCES, PROMOTED_TAGS
 from tidemeter.sources.collector import collector_metrics
 
 
+def entries_of(metrics: Column, plugin: str) -> Column:
+    return F.filter(metrics, lambda m: m["name"] == plugin)
+
+
 def routed(metrics: Column) -> Column:
     """Entries of one batch -> array<struct<resource, value JSON>>, computed inside the row.
 
@@ -21,8 +26,7 @@ def routed(metrics: Column) -> Column:
     single = {p: r for p, r in PLUGIN_RESOURCES.items() if p != MERGED_PLUGIN}
     items = []
     for plugin, resource in single.items():
-        own = F.filter(metrics, lambda m, plugin=plugin: m["name"] == plugin)
-        last = F.try_element_at(own, F.lit(-1))
+        last = F.try_element_at(entries_of(metrics, plugin), F.lit(-1))
         items.append(
             F.struct(F.lit(resource).alias("resource"), F.to_json(last["fields"]).alias("value"))
         )
@@ -37,7 +41,6 @@ def routed(metrics: Column) -> Column:
 
 def merged_fields(metrics: Column, plugin: str) -> Column:
     """Field maps of all entries of a plugin merged, a later key replacing an earlier one."""
-    own = F.filter(metrics, lambda m: m["name"] == plugin)
 
     def merge(so_far: Column, entry: Column) -> Column:
         later = entry["fields"]
@@ -45,15 +48,14 @@ def merged_fields(metrics: Column, plugin: str) -> Column:
         return F.map_concat(kept, later)
 
     nothing = F.create_map().cast(VARIANT_MAP)
-    merged = F.aggregate(own, nothing, merge)
+    merged = F.aggregate(entries_of(metrics, plugin), nothing, merge)
     return F.when(F.size(F.map_keys(merged)) > 0, merged)
 
 
-def route_batches(batches: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per batch document and resource."""
-    return batches.select(
-        doc_id, F.inline(routed(collector_metrics(F.col(text)))).alias("resource_name", "value")
-    )
+def route_batches(batches: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """One row per batch document and resource, with the columns to keep of the document."""
+    routes = F.inline(let(collector_metrics(F.col(text)), routed))
+    return batches.select(*keep, routes.alias("resource_name", "value"))
 
 
 def routed_events(
@@ -115,19 +117,24 @@ def promote_tags(
     promoted: Mapping[str, Sequence[str]] = PROMOTED_TAGS,
 ) -> DataFrame:
     """Move given tags of given plugins into the fields as text. Both columns are maps of text."""
-    result = entries
-    for owner, names in promoted.items():
-        moved = F.map_filter(tags, lambda key, _, names=names: key.isin(*names))
-        kept = F.map_filter(tags, lambda key, _, names=names: ~key.isin(*names))
-        others = F.map_filter(fields, lambda key, _, moved=moved: ~F.map_contains_key(moved, key))
+
+    def promote(df: DataFrame, owner: str, names: Sequence[str]) -> DataFrame:
         own = F.col(plugin) == owner
-        result = result.withColumns(
+        moved = F.map_filter(tags, lambda key, _: key.isin(*names))
+        kept = F.map_filter(tags, lambda key, _: ~key.isin(*names))
+        others = F.map_filter(
+            fields, lambda key, _: ~(key.isin(*names) & F.map_contains_key(tags, key))
+        )
+        return df.withColumns(
             {
                 fields: F.when(own, F.map_concat(others, moved)).otherwise(F.col(fields)),
                 tags: F.when(own, kept).otherwise(F.col(tags)),
             }
         )
-    return result
+
+    for owner, names in promoted.items():
+        entries = promote(entries, owner, names)
+    return entries
 
 
 def merge_same_key_metrics(

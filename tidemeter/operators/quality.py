@@ -136,8 +136,8 @@ def gate(results: DataFrame) -> None:
         raise DataQualityError(broken)
 
 
-def load_suites(spark: SparkSession, directory: str) -> list[dict]:
-    """All suite files (JSON) of a folder, sorted by file name."""
-    files = spark.read.text(f"{directory.rstrip('/')}/*.json", wholetext=True)
+def load_suites(spark: SparkSession, directory: str, pattern: str = "*.json") -> list[dict]:
+    """All suite files (JSON, one suite each) of a folder, sorted by file name."""
+    files = spark.read.text(directory, wholetext=True, pathGlobFilter=pattern)
     rows = files.select(F.col("_metadata.file_path").alias("path"), "value").collect()
     return [json.loads(row.value) for row in sorted(rows)]

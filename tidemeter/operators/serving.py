@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemeter.functions.columns import round_half_up
 from tidemeter.functions.time import format_datetime, hour_bucket, minutes_before
 from tidemeter.schemas import DEFAULT_TREND_MINUTES, THRESHOLDS
 
@@ -33,14 +34,15 @@ def latest_metric(gold: DataFrame, resource_name: str, device_name: str) -> Data
     rows = gold.filter(
         (F.col("resource_name") == resource_name) & (F.col("device_name") == device_name)
     )
-    newest = rows.orderBy(F.col("window_start").desc(), F.col("batch_id").desc()).limit(1)
+    order = [F.col(c).desc() for c in ("window_start", "batch_id", "profile_name")]
+    newest = rows.orderBy(*order).limit(1)
     return newest.select("avg_value")
 
 
 def latest_metric_by_device(gold: DataFrame, resource_names: Sequence[str]) -> DataFrame:
     """The same answer for every device at once, without ordering the table."""
     rows = gold.filter(F.col("resource_name").isin(*resource_names))
-    newest = F.max(F.struct("window_start", "batch_id", "avg_value"))
+    newest = F.max(F.struct("window_start", "batch_id", "profile_name", "avg_value"))
     groups = rows.groupBy("device_name", "resource_name").agg(newest.alias("n"))
     return groups.select("device_name", "resource_name", "n.window_start", "n.avg_value")
 
@@ -100,9 +102,9 @@ def gold_ledger(
     return newest.select(
         format_datetime("window_start").alias("time_window"),
         F.col("resource_name").alias("metric_type"),
-        F.round("avg_value", 2).alias("average_value"),
-        F.round("min_value", 2).alias("minimum_value"),
-        F.round("max_value", 2).alias("maximum_value"),
+        round_half_up("avg_value", 2).alias("average_value"),
+        round_half_up("min_value", 2).alias("minimum_value"),
+        round_half_up("max_value", 2).alias("maximum_value"),
         "sample_count",
     )
 
@@ -138,7 +140,7 @@ def threshold_state(
 
 def legend_reduce(gold: DataFrame) -> DataFrame:
     """Chart legend per series: mean, maximum, minimum and the last non-null value."""
-    seen = F.when(F.col("avg_value").isNotNull(), F.struct("window_start", "batch_id"))
+    seen = F.when(F.col("avg_value").isNotNull(), F.struct("window_start", "batch_id", "profile_name"))
     return gold.groupBy("device_name", "resource_name").agg(
         F.avg("avg_value").alias("mean_value"),
         F.max("avg_value").alias("max_value"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemeter.operators.collector import route_batches, routed_events
@@ -51,9 +52,22 @@ def run_collector_to_events(
     profile_name: Column,
     origin: Column,
 ) -> DataFrame:
-    """Collector batches -> one event per document and resource."""
-    routes = route_batches(batches, doc_id, text)
-    return routed_events(routes, doc_id, device_name, profile_name, origin)
+    """Collector batches -> one event per document and resource.
+
+    Device, profile and origin are expressions on the columns of ``batches``.
+    """
+    named = batches.select(
+        doc_id,
+        text,
+        device_name.alias("device_name"),
+        profile_name.alias("profile_name"),
+        origin.alias("origin"),
+    )
+    keep = [doc_id, "device_name", "profile_name", "origin"]
+    routes = route_batches(named, text, keep)
+    return routed_events(
+        routes, doc_id, F.col("device_name"), F.col("profile_name"), F.col("origin")
+    )
 
 
 def run_realtime_points(
@@ -74,9 +88,10 @@ def run_quality(
     data_dir: str,
     schemas: dict[str, T.StructType | str],
     stop_on_failure: bool = False,
+    pattern: str = "*.json",
 ) -> DataFrame:
     """Run all suites of a folder against the CSV assets they name."""
-    suites = load_suites(spark, suite_dir)
+    suites = load_suites(spark, suite_dir, pattern)
     names = [suite["data_asset_name"] for suite in suites]
     assets = {name: csv_asset(spark, data_dir, name, schemas[name]) for name in names}
     results = run_suites(assets, suites)

@@ -50,6 +50,8 @@ def refine(
         source = store.scan(upstream.name).filter(F.col("batch_id").isin(*ids))
         rows += store.overwrite_batches(build(source), downstream, ids)
         batches += len(ids)
+        if len(ids) < batches_per_job:
+            break
     return LayerReport(batches, rows)
 
 

@@ -8,7 +8,7 @@ complete. The log is written last: a batch whose job died before that is simply
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from tidemeter.schemas import TableSpec
 
-COMMITS = "table_name STRING, operation STRING, batches ARRAY<STRING>, rows BIGINT, committed_at TIMESTAMP"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+COMMITS = TableSpec(
+    "commits",
+    "table_name STRING, operation STRING, batches ARRAY<STRING>, rows BIGINT, "
+    "committed_at TIMESTAMP",
+    partition_by=(),
+)
 
 
 class TableStore:
@@ -38,16 +45,21 @@ class TableStore:
     def ensure(self, specs: Iterable[TableSpec]) -> None:
         """Create namespace, tables and commit log where missing; existing data is attached."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`")
-        for spec in specs:
-            self._create(spec.name, spec.ddl, spec.partition_by)
-        self._create("commits", COMMITS, ())
-
-    def _create(self, name: str, columns: str, partition_by: tuple[str, ...]) -> None:
-        partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        for spec in [*specs, COMMITS]:
+            if not self.exists(spec.name):
+                self._create(spec)
+
+    def _create(self, spec: TableSpec) -> None:
+        partitions = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
+        # Appending nothing makes the folder; partitions an earlier session wrote are then found.
+        empty = self._no_rows(spec).write.mode("append")
+        (empty.partitionBy(*spec.partition_by) if partitions else empty).parquet(self.path(spec.name))
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.full_name(name)} ({columns}) USING parquet "
-            f"{partitions} LOCATION '{self.path(name)}'"
+            f"CREATE TABLE IF NOT EXISTS {self.full_name(spec.name)} ({spec.ddl}) USING parquet "
+            f"{partitions} LOCATION '{self.path(spec.name)}'"
         )
+        if partitions:
+            self.spark.catalog.recoverPartitions(self.full_name(spec.name))
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.namespace}.{name}")
@@ -61,7 +73,7 @@ class TableStore:
         return self.spark.sql(f"DESCRIBE EXTENDED {self.full_name(name)}")
 
     def history(self, name: str) -> DataFrame:
-        return self.scan("commits").filter(F.col("table_name") == name)
+        return self.scan(COMMITS.name).filter(F.col("table_name") == name)
 
     def committed_batches(self, name: str) -> DataFrame:
         """Distinct ids of the batches a table holds completely, from the log alone."""
@@ -74,28 +86,32 @@ class TableStore:
             df = df.withColumn("event_date", F.to_date(spec.time_column))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
 
-    def _write(self, df: DataFrame, spec: TableSpec, mode: str, overwrite: str) -> int:
-        """Write and count in the same pass."""
+    def _insert(self, df: DataFrame, spec: TableSpec, overwrite: bool, mode: str = "dynamic") -> int:
+        """Insert and count in the same pass. ``dynamic`` replaces the partitions that get rows,
+        ``static`` all of them.
+        """
         seen = Observation()
         counted = self._arranged(df, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = counted.write.mode(mode).option("partitionOverwriteMode", overwrite)
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        writer.parquet(self.path(spec.name))
-        self.spark.catalog.refreshTable(self.full_name(spec.name))
+        conf = df.sparkSession.conf  # a micro-batch has a session of its own
+        before = conf.get(OVERWRITE_MODE)
+        conf.set(OVERWRITE_MODE, mode)
+        try:
+            counted.write.insertInto(self.full_name(spec.name), overwrite=overwrite)
+        finally:
+            conf.set(OVERWRITE_MODE, before)
         return seen.get["rows"]
 
     def _no_rows(self, spec: TableSpec) -> DataFrame:
         return self.spark.createDataFrame([], spec.schema)
 
     def append(self, df: DataFrame, spec: TableSpec) -> int:
-        rows = self._write(df, spec, "append", "dynamic")
+        rows = self._insert(df, spec, overwrite=False)
         self.log(spec.name, "append", [], rows)
         return rows
 
     def overwrite_batches(self, df: DataFrame, spec: TableSpec, batches: list[str]) -> int:
         """Write whole batches; the same batches written before are replaced."""
-        rows = self._write(df, spec, "overwrite", "dynamic")
+        rows = self._insert(df, spec, overwrite=True)
         self.log(spec.name, "overwrite", batches, rows)
         return rows
 
@@ -116,46 +132,55 @@ class TableStore:
         outcome: dict[str, str | None] = {}
         for spec in specs:
             try:
-                self._write(self._no_rows(spec), spec, "overwrite", "static")
+                self.scan(spec.name)
+                self._insert(self._no_rows(spec), spec, overwrite=True, mode="static")
                 outcome[spec.name] = None
             except AnalysisException as error:
                 outcome[spec.name] = str(error)
         emptied = [name for name, error in outcome.items() if error is None]
-        if self.exists("commits") and emptied:
+        if self.exists(COMMITS.name) and emptied:
             self._forget(emptied)
         return outcome
 
     def _forget(self, names: list[str]) -> None:
-        """Rewrite the log without some tables, beside the old one, then point the catalog to it."""
-        kept = self.scan("commits").filter(~F.col("table_name").isin(names))
-        staged = f"{self.root}/commits_without/{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
-        kept.write.parquet(staged)
-        survivors = self.spark.read.schema(COMMITS).parquet(staged)
-        survivors.write.mode("overwrite").parquet(self.path("commits"))
-        self.spark.catalog.refreshTable(self.full_name("commits"))
-
-    def expire(self, spec: TableSpec, before) -> list[str]:
-        """Empty the day partitions older than the date ``before``; returns the days."""
-        days = (
-            self.scan(spec.name)
-            .filter(F.col("event_date") < F.lit(before))
-            .select(F.col("event_date").cast("string"))
-            .distinct()
+        """Rewrite the log without some tables, by way of a copy beside it."""
+        kept = self.scan(COMMITS.name).filter(~F.col("table_name").isin(names))
+        copy = f"{self.root}/commits_kept/{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+        kept.write.parquet(copy)
+        survivors = self.spark.read.schema(COMMITS.schema).parquet(copy)
+        survivors.write.insertInto(self.full_name(COMMITS.name), overwrite=True)
+
+    def expire(self, spec: TableSpec, before: date) -> list[str]:
+        """Empty the day partitions older than the date ``before``; returns the days.
+
+        The days come from the catalog, no data is read.
+        """
+        partitions = self.spark.sql(f"SHOW PARTITIONS {self.full_name(spec.name)}")
+        day = F.regexp_extract("partition", r"event_date=(\d{4}-\d{2}-\d{2})", 1).alias("day")
+        days = partitions.select(day).distinct().filter(F.col("day") != "")
+        expired = sorted(
+            row.day for row in days.filter(F.col("day") < before.isoformat()).toLocalIterator()
         )
-        expired = sorted(row[0] for row in days.toLocalIterator())
-        for day in expired:
-            others = [name for name in spec.partition_by if name != "event_date"]
-            writer = self._no_rows(spec).drop("event_date").write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "static").partitionBy(*others).parquet(
-                f"{self.path(spec.name)}/event_date={day}"
-            )
-        self.spark.catalog.refreshTable(self.full_name(spec.name))
+        conf = self.spark.conf
+        mode = conf.get(OVERWRITE_MODE)
+        conf.set(OVERWRITE_MODE, "static")
+        try:
+            for day in expired:
+                others = [name for name in spec.partition_by if name != "event_date"]
+                target = ", ".join([f"event_date = DATE '{day}'", *others])
+                self.spark.sql(
+                    f"INSERT OVERWRITE {self.full_name(spec.name)} PARTITION ({target}) "
+                    "SELECT * FROM {nothing}",
+                    nothing=self._no_rows(spec).drop("event_date"),
+                )
+        finally:
+            conf.set(OVERWRITE_MODE, mode)
         return expired
 
     # -- commit log --
 
     def log(self, name: str, operation: str, batches: list[str], rows: int) -> None:
         now = datetime.now(timezone.utc)
-        entry = self.spark.createDataFrame([(name, operation, batches, rows, now)], COMMITS)
-        entry.coalesce(1).write.mode("append").parquet(self.path("commits"))
-        self.spark.catalog.refreshTable(self.full_name("commits"))
+        commit = [(name, operation, batches, rows, now)]
+        entry = self.spark.createDataFrame(commit, COMMITS.schema).coalesce(1)
+        entry.write.insertInto(self.full_name(COMMITS.name))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
-from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,28 +32,36 @@ def landing_path(root: str, dataset: str, url: str) -> str:
     return f"{root.rstrip('/')}/raw/{dataset}/{url.split('/')[-1]}"
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
+def _copier():
+    """Function that copies files; it brings all it needs along to the executors."""
 
-    if urlparse(path).scheme:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    def filesystem(path: str):
+        from urllib.parse import urlparse
 
+        from pyarrow import fs
 
-def _copy(source: str, target: str) -> int:
-    """Copy in blocks beside the target, then move: a retried task replaces, never appends."""
-    source_fs, source_path = _filesystem(source)
-    target_fs, target_path = _filesystem(target)
-    target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
-    part = f"{target_path}.{uuid.uuid4().hex}"
-    size = 0
-    with source_fs.open_input_stream(source_path) as reader:
-        with target_fs.open_output_stream(part) as writer:
-            while block := reader.read(COPY_BLOCK):
-                writer.write(block)
-                size += len(block)
-    target_fs.move(part, target_path)
-    return size
+        if urlparse(path).scheme:
+            return fs.FileSystem.from_uri(path)
+        return fs.LocalFileSystem(), path
+
+    def copy(source: str, target: str, block_size: int) -> int:
+        """Copy in blocks beside the target, then move: a retried task replaces, never appends."""
+        from uuid import uuid4
+
+        source_fs, source_path = filesystem(source)
+        target_fs, target_path = filesystem(target)
+        target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
+        part = f"{target_path}.{uuid4().hex}"
+        size = 0
+        with source_fs.open_input_stream(source_path) as reader:
+            with target_fs.open_output_stream(part) as writer:
+                while block := reader.read(block_size):
+                    writer.write(block)
+                    size += len(block)
+        target_fs.move(part, target_path)
+        return size
+
+    return copy
 
 
 LANDED = "source string, path string, bytes bigint"
@@ -72,11 +78,15 @@ def land_raw_files(
     if provider not in LANDING_PROVIDERS:
         return spark.createDataFrame([], LANDED)
 
+    copy, block_size = _copier(), COPY_BLOCK
+
     def copy_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            targets = [landing_path(root, dataset, path) for path in batch["path"]]
-            sizes = [_copy(path, target) for path, target in zip(batch["path"], targets)]
-            yield pd.DataFrame({"source": batch["path"], "path": targets, "bytes": sizes})
-
-    listing = spark.read.format("binaryFile").load(source).select("path")
-    return listing.repartition(F.col("path")).mapInPandas(copy_files, LANDED)
+            pairs = zip(batch["source"], batch["path"])
+            yield batch.assign(bytes=[copy(old, new, block_size) for old, new in pairs])
+
+    name = F.element_at(F.split("path", "/"), -1)
+    target = F.concat(F.lit(landing_path(root, dataset, "")), name)
+    listing = spark.read.format("binaryFile").load(source)
+    files = listing.select(F.col("path").alias("source"), target.alias("path"))
+    return files.repartition("source").mapInPandas(copy_files, LANDED)
