@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def with_known(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column and keep the rows where it is not null, computing it once per row.
+
+    A filter on a computed column is moved below the computation by the optimizer, which then runs
+    twice. An outer generator holds it back.
+    """
+    held = F.filter(F.array(value), lambda v: v.isNotNull())
+    rows = df.select("*", F.posexplode_outer(held).alias("_known", name))
+    return rows.filter(F.col("_known").isNotNull()).drop("_known")
+
+
 def comma_list(text: Column | str) -> Column:
     """Comma list -> array of trimmed, non-blank items."""
     items = F.transform(F.split(text, ","), lambda item: F.trim(item))

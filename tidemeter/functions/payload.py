@@ -6,7 +6,7 @@ are arrays of structs in document order, and "the later one wins" is settled by
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,11 @@ def json_object(text: Column) -> Column:
     """Text that is exactly one JSON object -> map of variants in document order; else null.
 
     The JSON reader stops after the first value; wrapping the text in brackets makes it fail on
-    anything that follows.
+    anything that follows. Text that does not open like an object is not given to the reader, for
+    which every malformed text is a costly exception.
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    opens = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    wrapped = F.when(opens, F.concat(F.lit("["), text, F.lit("]")))
     parsed = F.from_json(wrapped, T.ArrayType(VARIANT_MAP), JSON_OPTIONS)
     return let(parsed, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0))))
 
@@ -66,6 +68,10 @@ def variant_number(value: Column) -> Column:
     return F.when(member_kind(value) == "num", F.try_variant_get(value, "$", "double"))
 
 
+def no_members() -> Column:
+    return F.array().cast("array<struct<key:string,value:variant>>")
+
+
 def flatten_members(text: Column) -> Column:
     """Value text -> array<struct<key, value variant>> in document order, repeats included.
 
@@ -78,69 +84,127 @@ def flatten_members(text: Column) -> Column:
         return F.coalesce(inner, F.array(entry))
 
     members = F.flatten(F.transform(F.map_entries(json_object(text)), expand))
-    empty = F.array().cast("array<struct<key:string,value:variant>>")
-    return F.coalesce(members, empty)
-
-
-def typed_members(members: Column, first_position: int = 0) -> Column:
-    """Give each member a position, a kind and its value in the column of that kind."""
-
-    def typed(entry: Column, index: Column) -> Column:
-        def build(kind: Column) -> Column:
-            value = entry["value"]
-            return F.struct(
-                entry["key"].alias("name"),
-                (index + first_position).alias("pos"),
-                kind.alias("kind"),
-                F.when(kind == "num", F.try_variant_get(value, "$", "double")).alias("value_num"),
-                F.when(kind == "str", F.try_variant_get(value, "$", "string")).alias("value_str"),
-                F.when(kind == "bool", F.try_variant_get(value, "$", "boolean")).alias("value_bool"),
-            )
+    return F.coalesce(members, no_members())
 
-        return let(member_kind(entry["value"]), build)
 
-    return F.transform(members, typed)
+def _distinct(names: Column) -> Column:
+    return F.size(F.array_distinct(names)) == F.size(names)
 
 
-def last_per_name(items: Column) -> Column:
-    """Of the structs (name, pos, ...) keep the last one of every name.
+def _last_per(name: str, items: Column) -> Column:
+    """Of the structs with a name and ``pos`` keep the last one of every name.
 
-    Names are usually distinct already; only if they are not is the array sorted, once, and each
-    item compared with its successor.
+    The array is sorted by name and position; an item stays if its successor has another name.
     """
 
+    def keyed(item: Column) -> Column:
+        return F.struct(item[name].alias("name"), item["pos"].alias("at"), item.alias("item"))
+
     def keep(ordered: Column) -> Column:
         following = F.slice(ordered, F.lit(2), F.size(ordered))
-        pairs = F.arrays_zip(ordered.alias("item"), following.alias("next"))
+        pairs = F.arrays_zip(ordered.alias("own"), following.alias("next"))
         kept = F.filter(
-            pairs, lambda p: p["next"].isNull() | (p["next"]["name"] != p["item"]["name"])
+            pairs, lambda p: p["next"].isNull() | (p["next"]["name"] != p["own"]["name"])
+        )
+        return F.transform(kept, lambda p: p["own"]["item"])
+
+    return let(F.sort_array(F.transform(items, keyed)), keep)
+
+
+def _positions(items: Column, entries: Column) -> Column:
+    """The entries at the positions of the items."""
+    return F.transform(items, lambda item: F.get(entries, item["pos"]))
+
+
+def unique_keys(members: Column) -> Column:
+    """A map as read from JSON, with the last of repeated keys only."""
+
+    def last_entries(entries: Column) -> Column:
+        numbered = F.transform(
+            entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"))
+        )
+        return F.map_from_entries(_positions(_last_per("key", numbered), entries))
+
+    def choose(m: Column) -> Column:
+        return F.when(_distinct(F.map_keys(m)), m).otherwise(let(F.map_entries(m), last_entries))
+
+    return let(members, choose)
+
+
+def field_name(key: Column, kind: Column) -> Column:
+    """Text fields are told apart from numbers by a suffix."""
+    return F.when(kind == "str", F.concat(key, F.lit("_str"))).otherwise(key)
+
+
+def settle(members: Column, reserved: Column | None = None) -> Column:
+    """Members with at most one per field, the later one winning.
+
+    Null, objects and arrays count as values of their key but give no field, and a field name that
+    is ``reserved`` is given up. Keys are usually distinct and do not look like the name of another
+    key's field; then nothing is to be done.
+    """
+
+    def resolve(given: Column) -> Column:
+        def described(entry: Column, index: Column) -> Column:
+            kind = member_kind(entry["value"])
+            return let(
+                kind,
+                lambda k: F.struct(
+                    entry["key"].alias("key"),
+                    field_name(entry["key"], k).alias("field"),
+                    k.alias("kind"),
+                    index.alias("pos"),
+                ),
+            )
+
+        per_key = F.filter(
+            _last_per("key", F.transform(given, described)), lambda d: d["kind"] != "none"
         )
-        return F.transform(kept, lambda p: p["item"])
+        per_field = _last_per("field", per_key)
+        if reserved is not None:
+            per_field = F.filter(per_field, lambda d: ~F.array_contains(reserved, d["field"]))
+        return _positions(per_field, given)
 
     def choose(given: Column) -> Column:
-        distinct = F.size(F.array_distinct(F.transform(given, lambda item: item["name"])))
-        return F.when(distinct == F.size(given), given).otherwise(let(F.sort_array(given), keep))
+        keys = F.transform(given, lambda e: e["key"])
+        risky = F.exists(keys, lambda k: k.endswith("_str") | k.startswith("meta_"))
+        return F.when(_distinct(keys) & ~risky, given).otherwise(resolve(given))
 
-    return let(items, choose)
+    return let(members, choose)
 
 
-def typed_fields(members: Column) -> Column:
-    """Members -> the fields a time-series store accepts, each name once.
+def explode_fields(rows: DataFrame, members: str, plain_from: Column | None = None) -> DataFrame:
+    """One row per field: its name and its value in the column of its kind.
 
     Booleans stay, numbers become doubles, text goes to ``<key>_str``; null, objects and arrays are
-    dropped, also when they replace an earlier value of the same key.
+    dropped. Members from position ``plain_from`` on keep their name. What is left to do per member
+    runs on plain rows, in generated code. The generator is an outer one because for an inner one the
+    optimizer adds a filter on the array, which would be computed twice.
     """
-    final = F.filter(last_per_name(typed_members(members)), lambda m: m["kind"] != "none")
-    return last_per_name(F.transform(final, as_field))
-
-
-def as_field(member: Column) -> Column:
-    name = F.when(member["kind"] == "str", F.concat(member["name"], F.lit("_str")))
-    return F.struct(
-        F.coalesce(name, member["name"]).alias("name"),
-        member["pos"].alias("pos"),
-        member["kind"].alias("kind"),
-        member["value_num"].alias("value_num"),
-        member["value_str"].alias("value_str"),
-        member["value_bool"].alias("value_bool"),
+    others = [c for c in rows.columns if c != members]
+    start = F.lit(None).cast("int") if plain_from is None else plain_from
+    one = rows.select(
+        *others, start.alias("_plain"), F.posexplode_outer(members).alias("_pos", "_m")
+    )
+    typed = one.select(
+        *others,
+        F.col("_m.key").alias("_key"),
+        F.col("_m.value").alias("_value"),
+        F.coalesce(F.col("_pos") >= F.col("_plain"), F.lit(False)).alias("_as_is"),
+        F.schema_of_variant("_m.value").alias("_type"),
+    )
+    numeric, text, boolean = (
+        F.col("_type").startswith("DECIMAL") | F.col("_type").isin("BIGINT", "DOUBLE", "FLOAT"),
+        F.col("_type") == "STRING",
+        F.col("_type") == "BOOLEAN",
+    )
+    value = F.col("_value")
+    return typed.filter(numeric | text | boolean).select(
+        *others,
+        F.when(text & ~F.col("_as_is"), F.concat("_key", F.lit("_str")))
+        .otherwise(F.col("_key"))
+        .alias("field"),
+        F.when(numeric, F.try_variant_get(value, "$", "double")).alias("value_num"),
+        F.when(text, F.try_variant_get(value, "$", "string")).alias("value_str"),
+        F.when(boolean, F.try_variant_get(value, "$", "boolean")).alias("value_bool"),
     )

@@ -54,8 +54,9 @@ def merged_fields(metrics: Column, plugin: str) -> Column:
 
 def route_batches(batches: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """One row per batch document and resource, with the columns to keep of the document."""
-    routes = F.inline(let(collector_metrics(F.col(text)), routed))
-    return batches.select(*keep, routes.alias("resource_name", "value"))
+    routes = F.inline_outer(let(collector_metrics(F.col(text)), routed))
+    rows = batches.select(*keep, routes.alias("resource_name", "value"))
+    return rows.filter(F.col("resource_name").isNotNull())
 
 
 def routed_events(

@@ -40,7 +40,7 @@ def gold_metrics(silver: DataFrame, mode: str = "per_field") -> DataFrame:
     """One row per number; the resource name is extended by the member key unless that is ``value``."""
     entries = metric_map(F.col("value_type"), F.col("metric_value"), mode)
     resource = F.coalesce("resource_name", F.lit("unknown"))
-    numbers = silver.select("*", F.inline(entries).alias("metric_key", "metric_num"))
+    numbers = silver.select("*", F.inline_outer(entries).alias("metric_key", "metric_num"))
     return numbers.filter(F.col("metric_num").isNotNull()).withColumn(
         "resource_name",
         F.when(F.col("metric_key") == SCALAR_KEY, resource).otherwise(

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemeter.functions.columns import with_known
 from tidemeter.functions.payload import (
     VARIANT_MAP,
-    as_field,
+    explode_fields,
     flatten_members,
     json_document,
     json_object,
-    last_per_name,
-    typed_members,
+    no_members,
+    settle,
+    unique_keys,
     utf8_text,
     variant_text,
 )
@@ -23,17 +25,27 @@ NOT_META = ("sourceName", "deviceName", "profileName", "readings", "apiVersion",
 
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
-# Positions that put an event's own members after those of its readings.
-META_POSITION = 1 << 30
+# Tag column -> member it comes from.
+TAGS = {
+    "source_name": "sourceName",
+    "device_name": "deviceName",
+    "profile_name": "profileName",
+}
+
+
+def decoded(value: Column) -> Column:
+    """Message bytes -> map of variants; null unless they are UTF-8 and one JSON object."""
+    return unique_keys(json_object(utf8_text(value)))
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """Add ``event``, the message as a map of variants; null unless it is UTF-8 and one JSON object."""
-    return records.withColumn("event", json_object(utf8_text(F.col("value"))))
+    """Add ``event``, null for invalid messages."""
+    return records.withColumn("event", decoded(F.col("value")))
 
 
-def drop_invalid(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("event").isNotNull())
+def valid_events(records: DataFrame) -> DataFrame:
+    """Records with their ``event``; invalid messages are dropped."""
+    return with_known(records, "event", decoded(F.col("value")))
 
 
 def dead_letter_status(parsed: DataFrame) -> DataFrame:
@@ -57,9 +69,8 @@ def member(name: str) -> Column:
     return F.try_element_at(F.col("event"), F.lit(name))
 
 
-def tag(name: str) -> Column:
+def tag_text(value: Column) -> Column:
     """A member as text; ``unknown`` only if the key is missing, ``None`` for a JSON null."""
-    value = member(name)
     kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
     return (
@@ -70,95 +81,94 @@ def tag(name: str) -> Column:
     )
 
 
-def event_fields(keep_scalars: bool = False) -> Column:
-    """All fields of a decoded event, each name once, a later reading winning over an earlier one.
+def tagged(events: DataFrame) -> DataFrame:
+    """Add the tag columns source_name, device_name and profile_name."""
+    picked = events.withColumns({f"_{column}": member(key) for column, key in TAGS.items()})
+    named = picked.withColumns({column: tag_text(F.col(f"_{column}")) for column in TAGS})
+    return named.drop(*[f"_{column}" for column in TAGS])
+
+
+def reading_members(readings: Column, keep_scalars: bool = False) -> Column:
+    """Members of all readings of an event, in order.
 
     ``keep_scalars`` also keeps readings whose value is a plain scalar, under their resource name.
     """
 
-    def reading_members(reading: Column) -> Column:
+    def of_one(reading: Column) -> Column:
         value = F.try_variant_get(reading, "$.value", "variant")
         members = flatten_members(variant_text(value))
         if not keep_scalars:
             return members
         scalar = F.try_parse_json(variant_text(value))
-        number = F.schema_of_variant(scalar).startswith("OBJECT") | scalar.isNull()
-        named = F.array(
-            F.struct(
-                F.try_variant_get(reading, "$.resourceName", "string").alias("key"),
-                scalar.alias("value"),
-            )
-        )
-        return F.when(number, members).otherwise(named)
-
-    readings = F.try_variant_get(member("readings"), "$", "array<variant>")
-    merged = F.flatten(F.transform(readings, reading_members))
-    metrics = F.filter(last_per_name(typed_members(merged)), lambda m: m["kind"] != "none")
-
-    top = F.filter(F.map_entries("event"), lambda e: ~e["key"].isin(*NOT_META))
-    meta = F.filter(typed_members(top, META_POSITION), lambda m: m["kind"] == "str")
-    prefixed = F.transform(
-        meta,
-        lambda m: F.struct(
-            F.concat(F.lit("meta_"), m["name"]).alias("name"),
-            m["pos"].alias("pos"),
-            m["kind"].alias("kind"),
-            m["value_num"].alias("value_num"),
-            m["value_str"].alias("value_str"),
-            m["value_bool"].alias("value_bool"),
+        structured = F.schema_of_variant(scalar).startswith("OBJECT") | scalar.isNull()
+        resource = F.try_variant_get(reading, "$.resourceName", "string")
+        named = F.array(F.struct(resource.alias("key"), scalar.alias("value")))
+        return F.when(structured, members).otherwise(named)
+
+    listed = F.try_variant_get(readings, "$", "array<variant>")
+    return F.coalesce(F.flatten(F.transform(listed, of_one)), no_members())
+
+
+def meta_members(event: Column) -> Column:
+    """Other top-level text members, as ``meta_<key>``."""
+    texts = F.filter(
+        F.map_entries(event),
+        lambda e: ~e["key"].isin(*NOT_META) & (F.schema_of_variant(e["value"]) == "STRING"),
+    )
+    return F.transform(
+        texts,
+        lambda e: F.struct(
+            F.concat(F.lit("meta_"), e["key"]).alias("key"), e["value"].alias("value")
         ),
     )
-    none = F.filter(prefixed, lambda m: F.lit(False))
-    fields = F.coalesce(F.transform(metrics, as_field), none)
-    return last_per_name(F.concat(fields, prefixed))
 
 
 def build_points(events: DataFrame, keep_scalars: bool = False) -> DataFrame:
-    """Decoded events with provenance -> one row per field. A message is flattened inside its own
-    row, so this step does not shuffle.
+    """Decoded events with provenance -> one row per field, the later reading winning.
+
+    A message is flattened inside its own row, so this step does not shuffle. Invalid messages have
+    no fields and vanish here.
     """
-    flat = events.select(
-        F.lit(POINT_MEASUREMENT).alias("measurement"),
-        tag("sourceName").alias("source_name"),
-        tag("deviceName").alias("device_name"),
-        tag("profileName").alias("profile_name"),
+    gathered = tagged(events).select(
+        *TAGS,
         F.col("_kafka_topic").alias("topic"),
         F.col("_kafka_partition").alias("kafka_partition"),
         F.col("_kafka_offset").alias("kafka_offset"),
         F.col("_processed_at").alias("ts"),
-        F.explode(event_fields(keep_scalars)).alias("f"),
+        reading_members(member("readings"), keep_scalars).alias("readings"),
+        meta_members(F.col("event")).alias("meta"),
     )
-    return flat.select(
-        *[c for c in flat.columns if c != "f"],
-        F.col("f.name").alias("field"),
-        "f.value_num",
-        "f.value_str",
-        "f.value_bool",
+    reserved = F.transform("meta", lambda e: e["key"])
+    settled = gathered.withColumn("readings", settle(F.col("readings"), reserved)).select(
+        *[c for c in gathered.columns if c not in ("readings", "meta")],
+        F.size("readings").alias("n_readings"),
+        F.concat("readings", "meta").alias("members"),
     )
+    fields = explode_fields(settled, "members", F.col("n_readings")).drop("n_readings")
+    return fields.select(F.lit(POINT_MEASUREMENT).alias("measurement"), "*")
 
 
 def points_from_records(
     records: DataFrame, processed_at: Column, keep_scalars: bool = False
 ) -> DataFrame:
-    valid = drop_invalid(parse_records(records))
-    return build_points(enrich_provenance(valid, processed_at), keep_scalars)
+    return build_points(enrich_provenance(parse_records(records), processed_at), keep_scalars)
 
 
 def annotation_records(events: DataFrame, at: Column, enabled: bool = True) -> DataFrame:
     """Dashboard annotation per event: time in ms, tags and text; none when disabled."""
     if not enabled:
         events = events.filter(F.lit(False))
-    source, device = tag("sourceName"), tag("deviceName")
-    return events.select(
+    text = F.concat(F.lit("source="), "source_name", F.lit(" device="), "device_name")
+    return tagged(events).select(
         F.unix_millis(at).alias("time"),
-        F.array(F.lit("kafka"), source).alias("tags"),
-        F.concat(F.lit("source="), source, F.lit(" device="), device).alias("text"),
+        F.array(F.lit("kafka"), "source_name").alias("tags"),
+        text.alias("text"),
     )
 
 
 def documents(records: DataFrame, ingested_at: Column) -> DataFrame:
     """Events as JSON documents with the time they were ingested."""
-    valid = drop_invalid(parse_records(records))
+    valid = valid_events(records)
     text = F.to_json(F.struct(F.date_format(ingested_at, ISO_TIME).alias("_ingested_at")))
     stamp = F.from_json(text, VARIANT_MAP)
     whole = F.try_variant_get(json_document(utf8_text(F.col("value"))), "$", "map<string,variant>")

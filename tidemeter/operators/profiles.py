@@ -28,9 +28,9 @@ def profile_dimension(documents: DataFrame, text: str = "document") -> DataFrame
     is_plain = as_plain["name"].isNotNull()
     profile = F.when(is_plain, as_plain).otherwise(as_list)
     rows = documents.select(profile.alias("p")).select(
-        F.col("p.name").alias("profile_name"), F.explode("p.deviceResources").alias("r")
+        F.col("p.name").alias("profile_name"), F.explode_outer("p.deviceResources").alias("r")
     )
-    return rows.select(
+    return rows.filter(F.col("r").isNotNull()).select(
         "profile_name",
         F.col("r.name").alias("resource_name"),
         F.col("r.properties.valueType").alias("value_type"),

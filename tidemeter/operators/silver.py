@@ -50,7 +50,8 @@ def silver_metric_map(bronze: DataFrame, processed_at: Column) -> DataFrame:
     """Doubly encoded payload -> one row per inner member; the time is the event's origin."""
     outer = F.from_json("raw_value", TEXT_MAP)
     inner = F.from_json(F.try_element_at(outer, F.col("source_name")), TEXT_MAP)
-    return bronze.select("*", F.explode(inner).alias("metric_key", "metric_value")).select(
+    members = bronze.select("*", F.explode_outer(inner).alias("metric_key", "metric_value"))
+    return members.filter(F.col("metric_key").isNotNull()).select(
         "event_id",
         "device_name",
         "profile_name",

@@ -23,7 +23,8 @@ def collector_metrics(text: Column) -> Column:
 
 def collector_entries(batches: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row per entry: document, position in it, plugin name and its fields as JSON."""
-    entries = batches.select(doc_id, F.posexplode(collector_metrics(F.col(text))).alias("pos", "m"))
+    listed = F.posexplode_outer(collector_metrics(F.col(text))).alias("pos", "m")
+    entries = batches.select(doc_id, listed).filter(F.col("pos").isNotNull())
     return entries.select(
         doc_id, "pos", F.col("m.name").alias("plugin"), F.to_json("m.fields").alias("fields")
     )

@@ -15,12 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemeter.operators.bronze import bronze_events_first_reading, bronze_readings
 from tidemeter.operators.points import (
-    build_points,
     dead_letter_status,
     documents,
-    drop_invalid,
-    enrich_provenance,
     parse_records,
+    points_from_records,
 )
 from tidemeter.schemas import EVENT_BRONZE, POINTS, READING_BRONZE, TableSpec
 from tidemeter.sinks.tables import TableStore
@@ -97,9 +95,8 @@ def points_stream(
     """Kafka records -> flattened points; invalid messages are dropped."""
 
     def build(batch: DataFrame, batch_id: str) -> DataFrame:
-        events = drop_invalid(parse_records(batch))
         at = F.current_timestamp() if processed_at is None else processed_at
-        return build_points(enrich_provenance(events, at)).withColumn("batch_id", F.lit(batch_id))
+        return points_from_records(batch, at).withColumn("batch_id", F.lit(batch_id))
 
     return stream_to_table(records, store, POINTS, build, checkpoint, stream, drain)
 

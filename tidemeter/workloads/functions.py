@@ -171,10 +171,14 @@ def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     with_null = F.concat(F.lit('{"none":null,'), F.substring(text, 2, 1_000_000))
-    members = payload.typed_members(payload.flatten_members(with_null))
-    rows = table(spark, sf_dir, "events").select("event_id", F.explode(members).alias("m"))
-    return rows.select(
-        "event_id", F.col("m.name").alias("key"), "m.value_num", "m.kind", "m.value_str"
+    members = F.explode(payload.flatten_members(with_null)).alias("m")
+    value = F.col("m.value")
+    return table(spark, sf_dir, "events").select("event_id", members).select(
+        "event_id",
+        "m.key",
+        payload.variant_number(value).alias("value_num"),
+        payload.member_kind(value).alias("kind"),
+        payload.variant_text(value).alias("value_str"),
     )
 
 
@@ -208,11 +212,8 @@ def typed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "events").select(
         "event_id", first.alias("first"), second.alias("second")
     )
-    fields = payload.typed_fields(payload.flatten_members(merged))
-    rows = texts.select("event_id", F.explode(fields).alias("f"))
-    return rows.select(
-        "event_id", F.col("f.name").alias("field"), "f.value_num", "f.value_str", "f.value_bool"
-    )
+    members = payload.settle(payload.flatten_members(merged)).alias("members")
+    return payload.explode_fields(texts.select("event_id", members), "members")
 
 
 @query(

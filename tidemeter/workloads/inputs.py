@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from tidemeter.operators.bronze import bronze_events_first_reading, bronze_readings
 from tidemeter.operators.gold import gold_events, gold_readings
 from tidemeter.operators.points import (
-    build_points,
-    drop_invalid,
     enrich_provenance,
-    parse_records,
+    points_from_records,
+    valid_events,
 )
 from tidemeter.operators.silver import silver_metric_map, silver_readings
 from tidemeter.session import run_dir
@@ -190,11 +189,11 @@ def event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decoded_events(records: DataFrame) -> DataFrame:
     """Valid events; the record's own time stands for the processing time."""
-    return enrich_provenance(drop_invalid(parse_records(records)), F.col("timestamp"))
+    return enrich_provenance(valid_events(records), F.col("timestamp"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_points(decoded_events(payload_records(spark, sf_dir)))
+    return points_from_records(payload_records(spark, sf_dir), F.col("timestamp"))
 
 
 # Gold of the per-reading flow, as SQL.

@@ -30,8 +30,7 @@ AS_OF_SQL = "TIMESTAMP '2024-01-01 07:12:00'"
     WHERE event_type <> 'error'"""
 )
 def drop_invalid_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = point_ops.drop_invalid(point_ops.parse_records(flawed_records(spark, sf_dir)))
-    return valid.select("partition", "offset")
+    return point_ops.valid_events(flawed_records(spark, sf_dir)).select("partition", "offset")
 
 
 @query(
