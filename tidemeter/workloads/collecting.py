@@ -9,7 +9,7 @@ from tidemeter.operators import collector, profiles
 from tidemeter.operators.bronze import bronze_readings as to_bronze
 from tidemeter.plans import datasets
 from tidemeter.sources.collector import collector_entries
-from tidemeter.workloads.inputs import EV, LOADED_AT, as_records, events, spread, table
+from tidemeter.workloads.inputs import EV, loaded_at, as_records, events, spread, table
 from tidemeter.workloads.registry import query
 
 
@@ -102,16 +102,16 @@ def run_telegraf_to_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "document",
         F.concat(F.lit("node-"), F.col("l_orderkey") % 100),
         F.lit("node-profile"),
-        F.unix_micros(LOADED_AT) * 1000,
+        F.unix_micros(loaded_at()) * 1000,
     )
     placed = made.select(
         F.col("event"),
         F.lit(0).alias("kafka_partition"),
         F.col("doc_id").alias("kafka_offset"),
-        LOADED_AT.alias("at"),
+        loaded_at().alias("at"),
         F.lit("node").alias("device_name"),
     )
-    rows = to_bronze(as_records(placed, F.col("event")), F.lit("batch-0"), LOADED_AT)
+    rows = to_bronze(as_records(placed, F.col("event")), F.lit("batch-0"), loaded_at())
     return rows.select("event_id", "device_name", "resource_name")
 
 

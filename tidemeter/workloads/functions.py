@@ -10,7 +10,7 @@ from tidemeter.functions import time as times
 from tidemeter.operators import sessions
 from tidemeter.schemas import WIDE_BIN_NS
 from tidemeter.streaming.jobs import batch_name
-from tidemeter.workloads.inputs import AS_OF, EV, events, table
+from tidemeter.workloads.inputs import as_of, EV, events, table
 from tidemeter.workloads.registry import query
 
 PATTERN = "'%Y-%m-%d %H:%M:%S'"
@@ -92,7 +92,7 @@ def relative_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = (15, 30, 60, 120, 240)
     counts = events(spark, sf_dir).agg(
         *[
-            F.count_if(F.col("at") >= times.minutes_before(AS_OF, m)).alias(str(m))
+            F.count_if(F.col("at") >= times.minutes_before(as_of(), m)).alias(str(m))
             for m in ranges
         ]
     )

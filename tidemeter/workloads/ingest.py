@@ -35,7 +35,7 @@ from tidemeter.workloads.inputs import (
     AT_TEXT,
     EV,
     GOLD,
-    LOADED_AT,
+    loaded_at,
     TOPIC,
     batch_of_offset,
     envelope,
@@ -221,7 +221,7 @@ def generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         "event_id",
         F.get(kinds, (F.col("event_id") % (len(SOURCE_KINDS) + 1)).cast("int")),
-        F.unix_micros(LOADED_AT) * 1000 + F.col("event_id"),
+        F.unix_micros(loaded_at()) * 1000 + F.col("event_id"),
         F.concat(F.lit("node-"), F.col("event_id") % 50),
         F.lit("node-profile"),
     )
@@ -524,7 +524,7 @@ def produce_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
         "line_items",
         F.col("key").cast("bigint") % 8,
         F.monotonically_increasing_id(),
-        LOADED_AT,
+        loaded_at(),
         F.col("key"),
     )
     path = write_records(records, f"{run_dir(spark, 'topic')}/line_items")
@@ -668,8 +668,8 @@ def refine_incrementally(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = readings_path(spark, sf_dir)
     stream = records_stream(spark, path, 1)
     jobs.bronze_stream_readings(stream, store, f"{store.root}/checkpoint").awaitTermination()
-    medallion.refine_readings(store, LOADED_AT)
-    silver, gold = medallion.refine_readings(store, LOADED_AT)
+    medallion.refine_readings(store, loaded_at())
+    silver, gold = medallion.refine_readings(store, loaded_at())
     if silver.batches or gold.batches:
         raise RuntimeError("batches were processed twice")
     return (

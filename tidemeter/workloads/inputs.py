@@ -25,9 +25,16 @@ CLOCK_START = 1_704_067_200_000_000  # 2024-01-01 in microseconds
 CLOCK_SPEED = 100
 TOPIC = "machine_metrics"
 
-# Load time, and the "now" of the serving queries: just after the last event.
-LOADED_AT = F.lit("2024-02-01 00:00:00").cast("timestamp")
-AS_OF = F.lit("2024-01-01 07:12:00").cast("timestamp")
+
+def loaded_at() -> Column:
+    """Load time of everything made here."""
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def as_of() -> Column:
+    """The "now" of the serving queries: just after the last event."""
+    return F.lit("2024-01-01 07:12:00").cast("timestamp")
+
 
 EV = f"""ev AS (
   SELECT event_id, user_id, event_type, value, props,
@@ -164,27 +171,27 @@ def flawed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reading_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_readings(reading_records(spark, sf_dir), batch_of_offset(), LOADED_AT)
+    return bronze_readings(reading_records(spark, sf_dir), batch_of_offset(), loaded_at())
 
 
 def reading_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_readings(reading_bronze(spark, sf_dir), LOADED_AT)
+    return silver_readings(reading_bronze(spark, sf_dir), loaded_at())
 
 
 def reading_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_readings(reading_silver(spark, sf_dir), LOADED_AT)
+    return gold_readings(reading_silver(spark, sf_dir), loaded_at())
 
 
 def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_events_first_reading(payload_records(spark, sf_dir), batch_of_offset(), LOADED_AT)
+    return bronze_events_first_reading(payload_records(spark, sf_dir), batch_of_offset(), loaded_at())
 
 
 def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_metric_map(event_bronze(spark, sf_dir), LOADED_AT)
+    return silver_metric_map(event_bronze(spark, sf_dir), loaded_at())
 
 
 def event_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_events(event_silver(spark, sf_dir), LOADED_AT)
+    return gold_events(event_silver(spark, sf_dir), loaded_at())
 
 
 def decoded_events(records: DataFrame) -> DataFrame:

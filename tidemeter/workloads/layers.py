@@ -11,7 +11,7 @@ from tidemeter.workloads.inputs import (
     AT_TEXT,
     EV,
     GOLD,
-    LOADED_AT,
+    loaded_at,
     batch_of_offset,
     event_bronze,
     event_gold,
@@ -65,7 +65,7 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM r WHERE event_type IN ('click', 'view')"""
 )
 def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bronze.bronze_readings(flawed_records(spark, sf_dir), batch_of_offset(), LOADED_AT)
+    rows = bronze.bronze_readings(flawed_records(spark, sf_dir), batch_of_offset(), loaded_at())
     return rows.withColumns(
         {c: text_time(c) for c in ("event_origin", "reading_origin")}
     ).drop("ingested_at")
@@ -85,7 +85,7 @@ def bronze_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def bronze_events_first_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bronze.bronze_events_first_reading(
-        flawed_records(spark, sf_dir), batch_of_offset(), LOADED_AT
+        flawed_records(spark, sf_dir), batch_of_offset(), loaded_at()
     )
     return rows.select(
         "event_id",

@@ -9,7 +9,7 @@ from tidemeter.operators import points as point_ops
 from tidemeter.operators import series
 from tidemeter.schemas import POINT_MEASUREMENT
 from tidemeter.workloads.inputs import (
-    AS_OF,
+    as_of,
     EV,
     POINTS,
     TOPIC,
@@ -48,7 +48,7 @@ def enrich_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     partial = records.withColumns(
         {c: F.when(known, F.col(c)) for c in ("topic", "partition", "offset")}
     )
-    rich = point_ops.enrich_provenance(point_ops.parse_records(partial), AS_OF)
+    rich = point_ops.enrich_provenance(point_ops.parse_records(partial), as_of())
     return rich.groupBy("_kafka_topic", "_kafka_partition", "_kafka_offset").agg(
         F.count(F.lit(1)).alias("events")
     )
@@ -88,8 +88,8 @@ def build_points(spark: SparkSession, sf_dir: str) -> DataFrame:
       GROUP BY source_name, device_name, profile_name)"""
 )
 def last_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = AS_OF - F.make_interval(mins=F.lit(300))
-    chosen = series.range_series(points(spark, sf_dir), POINT_MEASUREMENT, "level", start, AS_OF)
+    start = as_of() - F.make_interval(mins=F.lit(300))
+    chosen = series.range_series(points(spark, sf_dir), POINT_MEASUREMENT, "level", start, as_of())
     newest = series.last_per_series(chosen)
     return newest.select(
         "source_name", "device_name", "profile_name", text_time("ts"), "value_num"
@@ -114,8 +114,8 @@ def first_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
       AND ts < {AS_OF_SQL}"""
 )
 def range_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = AS_OF - F.make_interval(mins=F.lit(60))
-    rows = series.range_series(points(spark, sf_dir), POINT_MEASUREMENT, "level", start, AS_OF)
+    start = as_of() - F.make_interval(mins=F.lit(60))
+    rows = series.range_series(points(spark, sf_dir), POINT_MEASUREMENT, "level", start, as_of())
     return rows.select(
         "source_name",
         "device_name",
@@ -134,9 +134,9 @@ def range_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY source_name, profile_name"""
 )
 def probe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = AS_OF - F.make_interval(mins=F.lit(432))
+    start = as_of() - F.make_interval(mins=F.lit(432))
     found = series.probe_lookup(
-        points(spark, sf_dir), POINT_MEASUREMENT, "device-7", "k", 50.0, start, AS_OF
+        points(spark, sf_dir), POINT_MEASUREMENT, "device-7", "k", 50.0, start, as_of()
     )
     return found.select("source_name", "profile_name", text_time("ts"), "value_num")
 
@@ -147,6 +147,6 @@ def probe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE ts >= TIMESTAMP '2024-01-31 03:00:00' - INTERVAL 30 day GROUP BY field"""
 )
 def retained_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    as_of = F.lit("2024-01-31 03:00:00").cast("timestamp")
-    kept = series.retained(points(spark, sf_dir), as_of)
+    late = F.lit("2024-01-31 03:00:00").cast("timestamp")
+    kept = series.retained(points(spark, sf_dir), late)
     return kept.groupBy("field").agg(F.count(F.lit(1)).alias("points"))

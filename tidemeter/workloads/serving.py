@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import round_half_up
 from tidemeter.operators import serving
-from tidemeter.workloads.inputs import AS_OF, GOLD, reading_gold, text_time
+from tidemeter.workloads.inputs import as_of, GOLD, reading_gold, text_time
 from tidemeter.workloads.layers import GOLD_COLUMNS, comparable
 from tidemeter.workloads.registry import query
 
@@ -52,7 +52,7 @@ def latest_metric_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE resource_name = 'click' AND window_start >= {AS_OF_SQL} - INTERVAL 60 minute"""
 )
 def trend_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trend = serving.trend_metric(reading_gold(spark, sf_dir), "click", AS_OF)
+    trend = serving.trend_metric(reading_gold(spark, sf_dir), "click", as_of())
     return trend.withColumn("avg_value", round_half_up("avg_value", 6)).withColumn(
         "time", text_time("time")
     )
@@ -68,7 +68,7 @@ def trend_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY window_start, device_name"""
 )
 def trend_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pair = serving.trend_pair(reading_gold(spark, sf_dir), ["click", "view"], AS_OF, 240)
+    pair = serving.trend_pair(reading_gold(spark, sf_dir), ["click", "view"], as_of(), 240)
     return pair.select(
         text_time("time"),
         "device_name",
@@ -86,7 +86,7 @@ def trend_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY window_start DESC, resource_name, device_name, profile_name, batch_id LIMIT 100"""
 )
 def gold_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.gold_ledger(reading_gold(spark, sf_dir), AS_OF, 120, DEVICE)
+    return serving.gold_ledger(reading_gold(spark, sf_dir), as_of(), 120, DEVICE)
 
 
 NEWEST = "ORDER BY window_start DESC, device_name, profile_name, resource_name, g.batch_id"
