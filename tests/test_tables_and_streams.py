@@ -126,7 +126,7 @@ def test_trend_reads_only_recent_days(spark, store):
     )
     store.append(days, READING_GOLD)
     gold = store.scan("reading_gold")
-    recent = trend_metric(gold, "cpu", F.lit("2024-01-10 00:30:00").cast("timestamp"))
+    recent = trend_metric(gold, "cpu", F.lit("2024-01-10 01:00:00").cast("timestamp"))
     assert recent.count() == 1
     assert len(recent.inputFiles()) == 1 and len(gold.inputFiles()) == 10
 

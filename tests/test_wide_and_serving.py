@@ -58,9 +58,19 @@ def test_first_value_of_a_bin_and_no_number(spark):
 def test_forward_fill_never_holds_a_whole_device(spark):
     data = [("e", "d", "A", "1", i) for i in range(0, 100, 10)]
     pivoted = wide.pivot_bins(reading_frame(spark, data), ["A"], 10)
-    plan = wide.forward_fill(pivoted, ["A"], 10, 4)._jdf.queryExecution().optimizedPlan().toString()
+    filled = wide.forward_fill(pivoted, ["A"], 10, 4)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2 and any("chunk" in line.split("],")[1] for line in windows)
+    # one window per (device, chunk) over the bins, one per device over the chunks
+    assert len(windows) == 2
+    assert sum("chunk" in line.split("], [")[1] for line in windows) == 1
+
+
+def test_readings_without_a_device_are_kept(spark):
+    data = [("a", None, "A", "1", 0), ("b", None, "B", "2", 10), ("c", "d", "B", "3", 10)]
+    made = datasets.wide_dataset(reading_frame(spark, data), ["A", "B"], 10)
+    got = sorted((str(r.device_name), r.bin, r.A, r.B) for r in made.collect())
+    assert got == [("None", 0, 1.0, None), ("None", 10, 1.0, 2.0), ("d", 10, None, 3.0)]
 
 
 def test_run_wide_dataset_columns(spark, tmp_path):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import strict_number
@@ -29,8 +29,8 @@ def pivot_bins(
     """(device_name, resource_name, value text, origin, ...) -> one row per device and bin.
 
     The earliest value of a metric in the bin is kept; ``order`` makes "earliest" repeatable. A value
-    that is no number fails the query. The metric list is given, so no job looks for it, and the
-    first aggregation reduces each (device, bin, metric) before the shuffle.
+    that is no number fails the query. The metric list is given, so no job looks for it, and all
+    metrics of a bin are settled by one aggregation that reduces its rows before the shuffle.
     """
     binned = filter_resources(readings, metrics).select(
         "device_name",
@@ -39,11 +39,12 @@ def pivot_bins(
         strict_number("value").alias("num"),
         F.struct(*order).alias("at"),
     )
-    wide = (
-        binned.groupBy("device_name", "bin")
-        .pivot("resource_name", list(metrics))
-        .agg(F.min_by("num", "at"))
-    )
+
+    def earliest(metric: str) -> Column:
+        own = F.col("resource_name") == metric
+        return F.min_by(F.when(own, F.col("num")), F.when(own, F.col("at"))).alias(metric)
+
+    wide = binned.groupBy("device_name", "bin").agg(*[earliest(m) for m in metrics])
     time = F.timestamp_micros(F.call_function("div", F.col("bin"), F.lit(1000)))
     return wide.select("device_name", "bin", time.alias("datetime"), *metrics)
 
@@ -56,45 +57,43 @@ def forward_fill(
 ) -> DataFrame:
     """Fill missing cells from the device's previous bin.
 
-    A device's series is cut into chunks of a fixed number of bins. Each chunk is filled by itself,
-    and starts from the last known values before it: those are found on one small row per chunk. No
-    task ever holds a whole device.
+    A device's series is cut into chunks of a fixed number of bins, so that no task ever holds a whole
+    device. The last known values before a chunk are found on one small row per chunk and put in front
+    of it as one more row, which is dropped after the fill.
     """
-    chunk_ns = width * bins_per_chunk
-    chunked = wide.withColumn("chunk", F.floor(F.col("bin") / chunk_ns))
-    within = (
-        Window.partitionBy("device_name", "chunk")
-        .orderBy("bin")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunked = wide.withColumns(
+        {"chunk": bin_ns("bin", width * bins_per_chunk), "carried": F.lit(False)}
     )
 
     def last_known(metric: str) -> Column:
-        known = F.when(F.col(metric).isNotNull(), F.col("bin"))
-        return F.max_by(metric, known).alias(metric)
+        at = F.when(F.col(metric).isNotNull(), F.col("bin"))
+        return F.max_by(metric, at).alias(metric)
+
+    def latest(metric: str, frame: WindowSpec) -> Column:
+        return F.last(metric, ignorenulls=True).over(frame).alias(metric)
 
-    ends = chunked.groupBy("device_name", "chunk").agg(*[last_known(m) for m in metrics])
     earlier = (
         Window.partitionBy("device_name")
         .orderBy("chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = ends.select(
-        "device_name",
-        "chunk",
-        *[F.last(m, ignorenulls=True).over(earlier).alias(f"{m}_before") for m in metrics],
+    within = (
+        Window.partitionBy("device_name", "chunk")
+        .orderBy("bin")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = chunked.select(
-        *[c for c in wide.columns if c not in metrics],
+    ends = chunked.groupBy("device_name", "chunk").agg(*[last_known(m) for m in metrics])
+    before = ends.select(
+        "device_name",
         "chunk",
-        *[F.last(m, ignorenulls=True).over(within).alias(m) for m in metrics],
-    )
-    joined = filled.join(carried, ["device_name", "chunk"])
-    return joined.select(
-        *[
-            F.coalesce(F.col(c), F.col(f"{c}_before")).alias(c) if c in metrics else F.col(c)
-            for c in wide.columns
-        ]
+        (F.col("chunk") - 1).alias("bin"),
+        F.lit(True).alias("carried"),
+        *[latest(m, earlier) for m in metrics],
     )
+    rows = chunked.unionByName(before, allowMissingColumns=True)
+    others = [c for c in wide.columns if c not in metrics]
+    filled = rows.select(*others, "carried", *[latest(m, within) for m in metrics])
+    return filled.filter(~F.col("carried")).select(*wide.columns)
 
 
 def present_metrics(wide: DataFrame, metrics: Sequence[str]) -> list[str]:

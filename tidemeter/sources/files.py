@@ -72,7 +72,7 @@ def land_raw_files(
 ) -> DataFrame:
     """Land every file ``source`` matches, unchanged, replacing earlier copies.
 
-    Files are listed without reading them, spread one per task, and copied block by block by the
+    Files are listed without reading them, spread over all cores, and copied block by block by the
     executors. A provider that is not known lands nothing.
     """
     if provider not in LANDING_PROVIDERS:
@@ -89,4 +89,5 @@ def land_raw_files(
     target = F.concat(F.lit(landing_path(root, dataset, "")), name)
     listing = spark.read.format("binaryFile").load(source)
     files = listing.select(F.col("path").alias("source"), target.alias("path"))
-    return files.repartition("source").mapInPandas(copy_files, LANDED)
+    tasks = spark.sparkContext.defaultParallelism  # a given number is not merged into fewer tasks
+    return files.repartition(tasks, "source").mapInPandas(copy_files, LANDED)
