@@ -183,6 +183,11 @@ def test_generator_is_repeatable_and_in_range(spark):
     assert 75 <= cpu["usage_idle"] <= 95 and 4 <= cpu["usage_user"] <= 20
     memory = json.loads(json.loads(json.loads(first[3])["readings"][0]["value"])["mem_data"])
     assert memory["available"] + memory["used"] == memory["mem_total"]
+    load = json.loads(json.loads(json.loads(first[5])["readings"][0]["value"])["sys_data"])
+    assert load["load15"] <= load["load5"] <= load["load1"] <= 4.0
+    states = json.loads(json.loads(json.loads(first[7])["readings"][0]["value"])["proc_data"])
+    known = sum(states[k] for k in ("running", "sleeping", "stopped", "zombies"))
+    assert 40 <= states["proc_total"] - known <= 80
     process = json.loads(json.loads(json.loads(first[2])["readings"][0]["value"])["gpu_proc_data"])
     assert process["sm_util"] == "-" and 1000 <= process["pid"] <= 9999
     other = json.loads(json.loads(json.loads(first[8])["readings"][0]["value"])["strange"])

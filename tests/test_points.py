@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from helpers import at, encoded, event, reading, records, rows
@@ -82,10 +83,44 @@ def test_points_equal_plain_python(spark, values):
     assert fields(spark, doc) == reference_fields(doc)
 
 
+KEYS = ["a", "b", "c", "a_str", "b_str", "meta_id", "long key", ""]
+LEAVES = [0, 1, -2.5, 1e300, True, False, None, "text", "5", "true", "null", "[1]", "{bad", [1, 2], {"x": 1}, {}]
+
+
+def random_object(rng, depth: int) -> str:
+    """JSON text of an object whose keys may repeat."""
+    members = []
+    for _ in range(rng.randrange(6)):
+        value = json.dumps(rng.choice(LEAVES))
+        if depth and rng.random() < 0.4:
+            value = json.dumps(random_object(rng, depth - 1))
+        members.append(f"{json.dumps(rng.choice(KEYS))}: {value}")
+    return "{" + ", ".join(members) + "}"
+
+
+def test_random_events_equal_plain_python(spark):
+    rng = random.Random(11)
+    docs = []
+    for i in range(400):
+        texts = [random_object(rng, 1) for _ in range(rng.randrange(4))]
+        docs.append(event(id=f"e{i}", readings=[reading("r", "String", t) for t in texts]))
+    made = points.points_from_records(records(spark, docs), at())
+    got = {i: {} for i in range(len(docs))}
+    for r in made.collect():
+        assert r.field not in got[r.kafka_offset]
+        got[r.kafka_offset][r.field] = next(
+            v for v in (r.value_num, r.value_str, r.value_bool) if v is not None
+        )
+    assert got == {i: reference_fields(doc) for i, doc in enumerate(docs)}
+
+
 def test_field_name_clash_gives_one_field(spark):
     doc = event(readings=[reading("r", "String", '{"a": "text", "a_str": 5}')])
     made = points.points_from_records(records(spark, [doc]), at()).filter("field = 'a_str'")
     assert [(r.value_num, r.value_str) for r in made.collect()] == [(5.0, None)]
+    # the key keeps its first place, so the text comes later
+    doc = event(readings=[reading("r", "String", '{"a_str": 5, "a": "text", "a_str": 7}')])
+    assert fields(spark, doc) == {"a_str": "text", "meta_id": "e1"}
     doc = event(readings=[reading("r", "String", '{"meta_id": 5}')])
     assert fields(spark, doc) == {"meta_id": "e1"}
 

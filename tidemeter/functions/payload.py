@@ -19,7 +19,8 @@ VARIANT_MAP = T.MapType(T.StringType(), T.VariantType())
 
 
 def json_object(text: Column) -> Column:
-    """Text that is exactly one JSON object -> map of variants in document order; else null.
+    """Text that is exactly one JSON object -> map of variants in document order; else null. Of
+    repeated keys the last value counts.
 
     The JSON reader stops after the first value; wrapping the text in brackets makes it fail on
     anything that follows. Text that does not open like an object is not given to the reader, for
@@ -28,7 +29,7 @@ def json_object(text: Column) -> Column:
     opens = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
     wrapped = F.when(opens, F.concat(F.lit("["), text, F.lit("]")))
     parsed = F.from_json(wrapped, T.ArrayType(VARIANT_MAP), JSON_OPTIONS)
-    return let(parsed, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0))))
+    return unique_keys(let(parsed, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0)))))
 
 
 def json_document(text: Column) -> Column:
@@ -73,7 +74,7 @@ def no_members() -> Column:
 
 
 def flatten_members(text: Column) -> Column:
-    """Value text -> array<struct<key, value variant>> in document order, repeats included.
+    """Value text -> array<struct<key, value variant>> in document order; a key may come again.
 
     A string member holding a JSON object is replaced by the members of that object; every other
     member stays. Text that is not an object gives an empty array.
@@ -91,24 +92,37 @@ def _distinct(names: Column) -> Column:
     return F.size(F.array_distinct(names)) == F.size(names)
 
 
-def _last_per(name: str, items: Column) -> Column:
-    """Of the structs with a name and ``pos`` keep the last one of every name.
+def _last_per(name: str, at: str, items: Column) -> Column:
+    """Of the structs keep the last one of every name, as struct<item, first>.
 
-    The array is sorted by name and position; an item stays if its successor has another name.
+    "Last" is by the column ``at``, and ``first`` is the smallest ``at`` of the name. The array is
+    sorted by name, so that a run of equal names shows both at its ends.
     """
 
     def keyed(item: Column) -> Column:
-        return F.struct(item[name].alias("name"), item["pos"].alias("at"), item.alias("item"))
-
-    def keep(ordered: Column) -> Column:
-        following = F.slice(ordered, F.lit(2), F.size(ordered))
-        pairs = F.arrays_zip(ordered.alias("own"), following.alias("next"))
-        kept = F.filter(
-            pairs, lambda p: p["next"].isNull() | (p["next"]["name"] != p["own"]["name"])
+        return F.struct(item[name].alias("name"), item[at].alias("at"), item.alias("item"))
+
+    def ends(ordered: Column) -> Column:
+        size = F.size(ordered)
+        shifted = F.concat(F.array(F.lit(None).cast("string")), names(ordered))
+        before = F.arrays_zip(ordered.alias("own"), F.slice(shifted, F.lit(1), size).alias("other"))
+        after = F.arrays_zip(
+            ordered.alias("own"), names(F.slice(ordered, F.lit(2), size)).alias("other")
+        )
+        return F.transform(
+            F.arrays_zip(edges(before).alias("head"), edges(after).alias("tail")),
+            lambda run: F.struct(
+                run["tail"]["own"]["item"].alias("item"), run["head"]["own"]["at"].alias("first")
+            ),
         )
-        return F.transform(kept, lambda p: p["own"]["item"])
 
-    return let(F.sort_array(F.transform(items, keyed)), keep)
+    def names(ordered: Column) -> Column:
+        return F.transform(ordered, lambda item: item["name"])
+
+    def edges(pairs: Column) -> Column:
+        return F.filter(pairs, lambda p: ~p["other"].eqNullSafe(p["own"]["name"]))
+
+    return let(F.sort_array(F.transform(items, keyed)), ends)
 
 
 def _positions(items: Column, entries: Column) -> Column:
@@ -117,16 +131,21 @@ def _positions(items: Column, entries: Column) -> Column:
 
 
 def unique_keys(members: Column) -> Column:
-    """A map as read from JSON, with the last of repeated keys only."""
+    """A map as read from JSON with each key once: the last value, at the place of the first."""
 
     def last_entries(entries: Column) -> Column:
         numbered = F.transform(
             entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"))
         )
-        return F.map_from_entries(_positions(_last_per("key", numbered), entries))
+        placed = F.transform(
+            _last_per("key", "pos", numbered),
+            lambda run: F.struct(run["first"].alias("place"), run["item"]["pos"].alias("pos")),
+        )
+        return F.map_from_entries(_positions(F.sort_array(placed), entries))
 
     def choose(m: Column) -> Column:
-        return F.when(_distinct(F.map_keys(m)), m).otherwise(let(F.map_entries(m), last_entries))
+        plain = m.isNull() | _distinct(F.map_keys(m))
+        return F.when(plain, m).otherwise(let(F.map_entries(m), last_entries))
 
     return let(members, choose)
 
@@ -157,10 +176,13 @@ def settle(members: Column, reserved: Column | None = None) -> Column:
                 ),
             )
 
-        per_key = F.filter(
-            _last_per("key", F.transform(given, described)), lambda d: d["kind"] != "none"
+        # A key keeps the place of its first occurrence and the value of its last.
+        per_key = F.transform(
+            _last_per("key", "pos", F.transform(given, described)),
+            lambda run: run["item"].withField("place", run["first"]),
         )
-        per_field = _last_per("field", per_key)
+        fields = F.filter(per_key, lambda d: d["kind"] != "none")
+        per_field = F.transform(_last_per("field", "place", fields), lambda run: run["item"])
         if reserved is not None:
             per_field = F.filter(per_field, lambda d: ~F.array_contains(reserved, d["field"]))
         return _positions(per_field, given)

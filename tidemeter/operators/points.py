@@ -14,7 +14,6 @@ from tidemeter.functions.payload import (
     json_object,
     no_members,
     settle,
-    unique_keys,
     utf8_text,
     variant_text,
 )
@@ -35,7 +34,7 @@ TAGS = {
 
 def decoded(value: Column) -> Column:
     """Message bytes -> map of variants; null unless they are UTF-8 and one JSON object."""
-    return unique_keys(json_object(utf8_text(value)))
+    return json_object(utf8_text(value))
 
 
 def parse_records(records: DataFrame) -> DataFrame:

@@ -9,16 +9,96 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SOURCE_KINDS = (
-    "cpu_data",
-    "gpu_data",
-    "gpu_proc_data",
-    "mem_data",
-    "net_data",
-    "sys_data",
-    "disk_data",
-    "proc_data",
-)
+# --- Fixed values: the fields of each source kind, in order -----------------------------------
+# (name, low, high) is drawn between both ends, whole if they are whole; (name, text or number) is a
+# constant; a name alone is one of the texts or derived numbers below.
+FIELDS = {
+    "cpu_data": (
+        ("cpu", "cpu-total"),
+        "host",
+        ("usage_idle", 75.0, 95.0),
+        ("usage_iowait", 0.0, 1.0),
+        ("usage_system", 1.0, 4.0),
+        ("usage_user", 4.0, 20.0),
+    ),
+    "gpu_data": (
+        ("compute_mode", "Default"),
+        "host",
+        ("index", 0),
+        ("name", "NVIDIA GeForce RTX 2080"),
+        ("pstate", "P8"),
+        "uuid",
+        ("fan_speed", 0, 20),
+        ("memory_free", 7000, 7400),
+        ("memory_reserved", 350, 500),
+        ("memory_total", 8192),
+        ("memory_used", 400, 700),
+        ("temperature_gpu", 40, 65),
+        ("utilization_gpu", 0, 40),
+        ("utilization_memory", 0, 20),
+    ),
+    "gpu_proc_data": (
+        ("gpu_idx", 0),
+        "host",
+        ("mem_util", "-"),
+        ("pid", 1000, 9999),
+        ("sm_util", "-"),
+    ),
+    "mem_data": ("host", "available", "mem_total", "used"),
+    "net_data": (
+        "host",
+        "comm",
+        ("dport", 1024, 65535),
+        "laddr",
+        ("lport", 1024, 65535),
+        ("pid", 100, 9999),
+        "raddr",
+        ("rx_kb", 0, 1024),
+        ("tx_kb", 0, 1024),
+    ),
+    "sys_data": (
+        "host",
+        "load1",
+        "load5",
+        "load15",
+        ("n_cpus", 2, 32),
+        ("uptime", 100, 200_000),
+    ),
+    "disk_data": (
+        "host",
+        "device",
+        "wwid",
+        ("io_time", 1000, 100_000),
+        ("iops_in_progress", 0),
+        ("read_bytes", 1_000_000_000, 10_000_000_000),
+        ("reads", 1000, 100_000),
+        ("write_bytes", 1_000_000_000, 10_000_000_000),
+        ("writes", 1000, 100_000),
+    ),
+    "proc_data": (
+        "host",
+        ("blocked", 0, 2),
+        ("idle", 60, 90),
+        "proc_total",
+        ("running", 0, 4),
+        ("sleeping", 200, 400),
+        ("stopped", 0, 2),
+        ("total_threads", 1000, 5000),
+        ("zombies", 0, 2),
+    ),
+}
+OTHER_FIELDS = ("host", "word")
+MEMORY_GIB = (16, 64)
+MEMORY_USED_SHARE = (0.12, 0.35)
+LOAD = (0.1, 4.0)
+LOAD_DROP = {"load5": (0.0, 0.5), "load15": (0.0, 0.4)}
+LOWEST_LOAD = 0.01
+OTHER_PROCESSES = (40, 80)
+# ----------------------------------------------------------------------------------------------
+
+SOURCE_KINDS = tuple(FIELDS)
+# Fields that go by another name in the payload.
+SHOWN_AS = {"device": "name", "word": "value"}
 
 GIB = 1024**3
 WORDS = ("alpha", "bridge", "copper", "delta", "ember", "fjord", "grove", "harbor")
@@ -59,100 +139,85 @@ class _Draw:
         return F.regexp_replace(self.token(field), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
-def _metrics(kind: str, d: _Draw) -> dict[str, Column]:
-    """Fields of a source kind and the ranges they are drawn from (fixed values)."""
-    host = {"host": F.concat(F.lit("host-"), F.substring(d.token("host"), 1, 8))}
-    if kind == "cpu_data":
-        return {
-            "cpu": F.lit("cpu-total"),
-            **host,
-            "usage_idle": d.real("usage_idle", 75.0, 95.0),
-            "usage_iowait": d.real("usage_iowait", 0.0, 1.0),
-            "usage_system": d.real("usage_system", 1.0, 4.0),
-            "usage_user": d.real("usage_user", 4.0, 20.0),
-        }
-    if kind == "gpu_data":
-        return {
-            "compute_mode": F.lit("Default"),
-            **host,
-            "index": F.lit(0),
-            "name": F.lit("NVIDIA GeForce RTX 2080"),
-            "pstate": F.lit("P8"),
-            "uuid": F.concat(F.lit("GPU-"), d.uuid("uuid")),
-            "fan_speed": d.whole("fan_speed", 0, 20),
-            "memory_free": d.whole("memory_free", 7000, 7400),
-            "memory_reserved": d.whole("memory_reserved", 350, 500),
-            "memory_total": F.lit(8192),
-            "memory_used": d.whole("memory_used", 400, 700),
-            "temperature_gpu": d.whole("temperature_gpu", 40, 65),
-            "utilization_gpu": d.whole("utilization_gpu", 0, 40),
-            "utilization_memory": d.whole("utilization_memory", 0, 20),
-        }
-    if kind == "gpu_proc_data":
-        return {
-            "gpu_idx": F.lit(0),
-            **host,
-            "mem_util": F.lit("-"),
-            "pid": d.whole("pid", 1000, 9999),
-            "sm_util": F.lit("-"),
-        }
-    if kind == "mem_data":
-        total = d.whole("total", 16, 64) * GIB
-        used = F.floor(total * d.real("share", 0.12, 0.35)).cast("bigint")
-        return {**host, "available": total - used, "mem_total": total, "used": used}
-    if kind == "net_data":
-        return {
-            **host,
-            "comm": d.word("comm"),
-            "dport": d.whole("dport", 1024, 65535),
-            "laddr": d.address("laddr"),
-            "lport": d.whole("lport", 1024, 65535),
-            "pid": d.whole("pid", 100, 9999),
-            "raddr": d.address("raddr"),
-            "rx_kb": d.whole("rx_kb", 0, 1024),
-            "tx_kb": d.whole("tx_kb", 0, 1024),
-        }
-    if kind == "sys_data":
-        load1 = d.real("load1", 0.1, 4.0, 2)
-        load5 = F.round(F.greatest(load1 - d.real("drop5", 0.0, 0.5), F.lit(0.01)), 2)
-        load15 = F.round(F.greatest(load5 - d.real("drop15", 0.0, 0.4), F.lit(0.01)), 2)
-        return {
-            **host,
-            "load1": load1,
-            "load5": load5,
-            "load15": load15,
-            "n_cpus": d.whole("n_cpus", 2, 32),
-            "uptime": d.whole("uptime", 100, 200_000),
-        }
-    if kind == "disk_data":
-        return {
-            **host,
-            "name": d.word("name"),
-            "wwid": F.concat(F.lit("eui."), F.substring(d.token("wwid"), 1, 16)),
-            "io_time": d.whole("io_time", 1000, 100_000),
-            "iops_in_progress": F.lit(0),
-            "read_bytes": d.whole("read_bytes", 1_000_000_000, 10_000_000_000),
-            "reads": d.whole("reads", 1000, 100_000),
-            "write_bytes": d.whole("write_bytes", 1_000_000_000, 10_000_000_000),
-            "writes": d.whole("writes", 1000, 100_000),
-        }
-    if kind == "proc_data":
-        running = d.whole("running", 0, 4)
-        sleeping = d.whole("sleeping", 200, 400)
-        stopped = d.whole("stopped", 0, 2)
-        zombies = d.whole("zombies", 0, 2)
-        return {
-            **host,
-            "blocked": d.whole("blocked", 0, 2),
-            "idle": d.whole("idle", 60, 90),
-            "proc_total": running + sleeping + stopped + zombies + d.whole("other", 40, 80),
-            "running": running,
-            "sleeping": sleeping,
-            "stopped": stopped,
-            "total_threads": d.whole("total_threads", 1000, 5000),
-            "zombies": zombies,
-        }
-    return {**host, "value": d.word("value")}
+def _between(kind: str, name: str) -> tuple:
+    """Range of a field in the table above."""
+    return next(field[1:] for field in FIELDS[kind] if field[0] == name)
+
+
+class _Fields:
+    """Values of one row's fields."""
+
+    def __init__(self, draw: _Draw):
+        self.draw = draw
+
+    def value(self, field: str | tuple) -> Column:
+        if isinstance(field, str):
+            return getattr(self, field)()
+        name, *spec = field
+        if len(spec) == 1:
+            return F.lit(spec[0])
+        whole = all(isinstance(end, int) for end in spec)
+        return self.draw.whole(name, *spec) if whole else self.draw.real(name, *spec)
+
+    def host(self) -> Column:
+        return F.concat(F.lit("host-"), F.substring(self.draw.token("host"), 1, 8))
+
+    def uuid(self) -> Column:
+        return F.concat(F.lit("GPU-"), self.draw.uuid("uuid"))
+
+    def wwid(self) -> Column:
+        return F.concat(F.lit("eui."), F.substring(self.draw.token("wwid"), 1, 16))
+
+    def comm(self) -> Column:
+        return self.draw.word("comm")
+
+    def device(self) -> Column:
+        return self.draw.word("device")
+
+    def word(self) -> Column:
+        return self.draw.word("word")
+
+    def laddr(self) -> Column:
+        return self.draw.address("laddr")
+
+    def raddr(self) -> Column:
+        return self.draw.address("raddr")
+
+    def mem_total(self) -> Column:
+        return self.draw.whole("mem_total", *MEMORY_GIB) * GIB
+
+    def used(self) -> Column:
+        return F.floor(self.mem_total() * self.draw.real("share", *MEMORY_USED_SHARE)).cast("bigint")
+
+    def available(self) -> Column:
+        return self.mem_total() - self.used()
+
+    def load1(self) -> Column:
+        return self.draw.real("load1", *LOAD, 2)
+
+    def load5(self) -> Column:
+        return self._lower(self.load1(), "load5")
+
+    def load15(self) -> Column:
+        return self._lower(self.load5(), "load15")
+
+    def _lower(self, load: Column, name: str) -> Column:
+        lowered = load - self.draw.real(name, *LOAD_DROP[name])
+        return F.round(F.greatest(lowered, F.lit(LOWEST_LOAD)), 2)
+
+    def proc_total(self) -> Column:
+        states = ("running", "sleeping", "stopped", "zombies")
+        parts = [self.draw.whole(name, *_between("proc_data", name)) for name in states]
+        return sum(parts, self.draw.whole("other", *OTHER_PROCESSES))
+
+
+def _metrics(kind: str, draw: _Draw) -> dict[str, Column]:
+    fields = _Fields(draw)
+    named = {}
+    for field in FIELDS.get(kind, OTHER_FIELDS):
+        name = field if isinstance(field, str) else field[0]
+        named[SHOWN_AS.get(name, name)] = fields.value(field)
+    return named
 
 
 def generated_payload(kind: Column, key: Column, seed: int = 0) -> Column:
