@@ -18,7 +18,6 @@ from tidemeter.workloads.inputs import (
     event_silver,
     events,
     flawed_records,
-    payload_records,
     reading_bronze,
     reading_gold,
     reading_silver,
