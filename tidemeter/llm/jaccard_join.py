@@ -9,7 +9,13 @@ every document to every region. Regions are therefore spanned by content: a link
 ``ceil(t * size)`` shingles, so in any fixed order of all shingles the first ``size - ceil(t * size) + 1`` of each have
 one in common, its cell. The order is by rising frequency, from a sketch of fixed size that counts all shingles
 of all documents, then by hash; frequent shingles, as of passages that many documents share, come last and seldom make
-cells. Each cell's smallest member is its pivot, and the region of a pivot is all that shares a cell with it.
+cells. Short shingles are shared by chance too often for that. Their cells are segments: sizes are cut into rings that
+double, a document within the window of the next ring's border (sets that link differ by at most
+``R = (size + other size) * (1-t) / (1+t)`` members, which is the triangle inequality around the empty set) is replicated to
+that ring, and a ring cuts the universe into ``k > R`` segments by hash. At most R of a linked pair's segments differ,
+so among the first R+1 non-empty ones of each in hash order they share one of equal content; a document with no more than
+R non-empty segments gives its empty ones too. Each cell's smallest member is its pivot, and the region of a pivot is all
+that shares a cell with it.
 
 *Recursion.* Distances to the pivot are computed. Members within r link to it, and need not be compared with each
 other: they are in one class. A cell whose members are not yet of one class is joined again, with four times as
@@ -18,7 +24,9 @@ all members and so gives the next windows; another pivot p and a member x of ano
 distances to the last first pivot differ by at most r. Then the pivots leave the cell. So a dense group of n near
 copies costs about n comparisons; only members of one cell that stay unlinked cost more.
 
-Equal sets collapse to one node first. Only documents that share a cell have their sets built for verification.
+Equal sets collapse to one node first. A pair is compared only if, were the cell's shingle the first they share, enough
+would follow it on both sides; a linked pair passes this in the cell of its first shared shingle. Only the sets of such
+pairs are built.
 """
 
 from __future__ import annotations
@@ -29,13 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemeter.llm.components import components
 from tidemeter.llm.shared import by_ids, map_arrow, prepared, stored
-from tidemeter.llm.words import SPACED, U64, mix, runs, word_hashes
+from tidemeter.llm.words import SPACED, U64, mix, ragged, runs, word_hashes
 
 
 # Distances are doubles; windows are wider by this.
@@ -61,6 +69,13 @@ class Threshold:
         """Fewest members that a set of this size shares with a linked one."""
         return -(-size * self.num // self.den)
 
+    def may_link(self, first: str, second: str) -> Column:
+        """Whether two sets can link whose first shared member stands at these places: what follows must be enough.
+        A place is the size (high 32 bits) and the position. It covers the window of sizes as well."""
+        size, other = F.shiftright(first, 32), F.shiftright(second, 32)
+        left = F.least(size - F.col(first).bitwiseAND(2**32 - 1), other - F.col(second).bitwiseAND(2**32 - 1))
+        return left * (self.num + self.den) >= (size + other) * self.num
+
     def largest(self, size: np.ndarray) -> np.ndarray:
         return size * self.den // self.num
 
@@ -96,15 +111,55 @@ def digests(sizes: np.ndarray, members: np.ndarray) -> np.ndarray:
         return mix(sums[ends] - sums[ends - sizes] + sizes.astype(U64), 4).view(np.int64)
 
 
-def cells(sizes: np.ndarray, members: np.ndarray, limit: Threshold, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of each set: (index of the set, shingle). Sets that only link to equal ones have none."""
+Cells = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def cells(sizes: np.ndarray, members: np.ndarray, limit: Threshold, counts: np.ndarray) -> Cells:
+    """Cells of each set: (index of the set, shingle, its place in the order). Sets that only link to equal ones have none."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((members, counts[bucket(members)], owner))
     rank = np.arange(len(members)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     prefix = sizes - limit.shared(sizes) + 1
     prefix[limit.apart(sizes + limit.largest(sizes)) == 0] = 0
     kept = rank < prefix[owner]
-    return owner[kept], members[order[kept]].view(np.int64)
+    return owner[kept], members[order[kept]].view(np.int64), rank[kept]
+
+
+def segment_cells(sizes: np.ndarray, members: np.ndarray, limit: Threshold) -> Cells:
+    """Cells of several shingles: (index of the set, 64-bit cell, 0 as its place)."""
+    starts = np.cumsum(sizes) - sizes
+    ring = np.frexp(np.maximum(sizes, 1))[1] - 1
+    near = sizes * limit.den >= limit.num * (2 << ring)  # in the window of the next ring
+    index = np.concatenate([np.arange(len(sizes)), np.flatnonzero(near)])
+    ring = np.concatenate([ring, ring[near] + 1])
+    top = (2 << ring) - 1
+    size = sizes[index]
+    differ = limit.apart(size + np.minimum(limit.largest(size), top))
+    index, ring, top, size, differ = (x[(size > 0) & (differ > 0)] for x in (index, ring, top, size, differ))
+    if not len(index):
+        return index, np.zeros(0, dtype=np.int64), index
+    segments = (limit.apart(2 * top) + 1) * 11 // 10 + 3
+    base = np.cumsum(segments) - segments
+    member = members[ragged(starts[index], size)]
+    owner = np.repeat(np.arange(len(index)), size)
+    at = base[owner] + (mix(member, 5) % segments[owner].astype(U64)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    at, heads = np.unique(at[order], return_index=True)
+    content = np.add.reduceat(mix(member[order], 6), heads)
+    owner = owner[order][heads]
+    filled = np.bincount(owner, minlength=len(index))
+    if (few := np.flatnonzero(filled <= differ)).size:  # the empty segments of these count as well
+        empty = np.setdiff1d(ragged(base[few], segments[few]), at, assume_unique=True)
+        at = np.concatenate([at, empty])
+        content = np.concatenate([content, np.zeros(len(empty), dtype=U64)])
+        owner = np.concatenate([owner, np.searchsorted(base, empty, "right") - 1])
+    place = ((ring[owner] << 40) + (at - base[owner])).astype(U64)
+    cell = mix(content ^ mix(place, 8), 9)
+    order = np.lexsort((cell, content == 0, owner))
+    owner, cell = owner[order], cell[order]
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    kept = (rank <= differ[owner]) | (filled <= differ)[owner]
+    return index[owner[kept]], cell[kept].view(np.int64), np.zeros(kept.sum(), dtype=np.int64)
 
 
 def bucket(members: np.ndarray) -> np.ndarray:
@@ -120,17 +175,24 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def jaccard_join(
-    docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    words: int = 5,
+    num: int = 4,
+    den: int = 5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    segments: bool | None = None,
 ) -> JaccardJoin:
     """Classes of documents linked at a similarity of ``num/den`` or more over shingles of ``words`` words.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text of fewer words is one shingle. Null, empty and
     wordless texts have an empty set, link to nothing and are classes of their own. ``component_id`` is the
-    smallest id of the class (null ids aside). Rows that repeat an id are documents of their own and are all
+    smallest id of the class (null ids aside). ``segments`` chooses the kind of cells (by default segments for shingles
+    of up to three words); the result is the same. Rows that repeat an id are documents of their own and are all
     returned. Other columns are not touched; an empty input gives empty results.
     """
     spark = prepared(docs.sparkSession)
-    limit = Threshold(num, den)
+    limit, by_segment = Threshold(num, den), words <= 3 if segments is None else segments
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
 
@@ -173,39 +235,50 @@ def jaccard_join(
     counts = sum((unpacked(row["counts"]) for row in sketches.collect()), np.zeros(1 << SKETCH_BITS, dtype=np.uint64))
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        nodes, found = [], []
+        nodes, found, places = [], [], []
         for _, sizes, members in shingle_sets(batch["text"], words):
-            index, cell = cells(sizes, members, limit, counts)
+            index, cell, place = segment_cells(sizes, members, limit) if by_segment else cells(sizes, members, limit, counts)
             nodes.append(digests(sizes, members)[index])
             found.append(cell)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(nodes))], ["cell", "node"])
+            places.append((sizes[index] << 32) | place)
+        columns = [pa.array(np.concatenate(x)) for x in (found, nodes, places)]
+        return pa.RecordBatch.from_arrays(columns, ["cell", "node", "place"])
 
     some = measured.where("n > 0")
-    first = stored(some.groupBy("node").agg(F.min("id").alias("id")), "first")
+    first = stored(some.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n")), "first")
     copies = some.join(first.select("node", F.col("id").alias("kept")), "node").where(F.col("id") != F.col("kept"))
     skipped = stored(copies.select("id").distinct().join(first, "id", "left_anti"), "copies")
-    spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint")
+    spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
     cell = Window.partitionBy("cell")
     shared = stored(
-        spread_rows.withColumn("pivot", F.min("node").over(cell))
+        spread_rows.withColumn("first", F.min(F.struct("node", "place")).over(cell))
         .withColumn("last", F.max("node").over(cell))
-        .where(F.col("pivot") != F.col("last"))
-        .select("cell", "node", "pivot"),
+        .where(F.col("first.node") != F.col("last"))
+        .select("cell", "node", "place", F.col("first.node").alias("pivot"), F.col("first.place").alias("p_place")),
         "cells",
     )
     open_rows = shared.where(F.col("node") != F.col("pivot"))
-    pairs = stored(open_rows.select("node", F.col("pivot").alias("other")).distinct(), "pairs")
-    wanted = pairs.select("node").union(pairs.select("other")).distinct()
-    ids = stored(wanted.join(first, "node").where("id IS NOT NULL").select("id").distinct(), "ids")
-    known = by_ids(texts, ids, "id", "left_semi").union(texts.where("id IS NULL"))
-    sets = stored(map_arrow(known, build, "node bigint, members array<bigint>"), "members")
-    sets = sets.dropDuplicates(["node"]) if _repeats(texts, sets) else sets
-
-    seen = stored(_distances(pairs, sets, limit), "distances")
+    may = limit.may_link("place", "p_place")
+    pairs = stored(open_rows.where(may).select("node", F.col("pivot").alias("other")).distinct(), "pairs")
+    nodes = stored(shared.select("node").distinct().join(first, "node"), "nodes")
+
+    def compared(found: DataFrame) -> DataFrame:
+        """Exact distances of pairs; only their sets are built."""
+        ends = found.select("node").union(found.select("other")).distinct().join(nodes, "node")
+        ids = stored(ends.where("id IS NOT NULL").select("id").distinct(), "ids")
+        known = by_ids(texts, ids, "id", "left_semi").union(texts.where("id IS NULL"))
+        sets = stored(map_arrow(known, build, "node bigint, members array<bigint>"), "members")
+        if not sets.groupBy("node").count().where("count > 1").isEmpty():  # ids that repeat, or null ids
+            sets = sets.dropDuplicates(["node"])
+        return stored(_distances(found, sets, limit), "distances")
+
+    seen = compared(pairs)
     links = seen.where("linked")
-    labels = _merged(wanted.select("node", F.col("node").alias("label")), links)
+    labels = _merged(nodes.select("node", F.col("node").alias("label")), links)
     radius = 1 - num / den + EPSILON
-    active = open_rows.join(seen.withColumnRenamed("other", "pivot"), ["node", "pivot"]).select("cell", "node", "far")
+    # A member that cannot link to its pivot may have no distance, and then has no window.
+    far = seen.select("node", F.col("other").alias("pivot"), "far")
+    active = open_rows.join(far, ["node", "pivot"], "left").select("cell", "node", "place", "far")
     turn = 0
     while True:
         turn += 1
@@ -214,22 +287,22 @@ def jaccard_join(
             labelled.withColumn("least", F.min("label").over(cell))
             .withColumn("most", F.max("label").over(cell))
             .where(F.col("least") != F.col("most"))
-            .withColumn("rank", F.row_number().over(cell.orderBy("far", "node")))
+            .withColumn("rank", F.row_number().over(cell.orderBy(F.asc_nulls_last("far"), "node")))
         )
-        rows = stored(undecided.select("cell", "node", "far", "label", "rank"), "open")
+        rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank"), "open")
         if rows.isEmpty():
             break
         pivots = rows.where(F.col("rank") <= 4**turn).select(
-            "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "far", "label", "rank"))
+            "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "place", "far", "label", "rank"))
         )
-        close = F.abs(F.col("far") - F.col("p_far")) <= radius
+        close = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius, F.lit(True))
         meeting = (
             rows.join(pivots, "cell")
-            .where(F.col("rank") > F.col("p_rank"))
+            .where((F.col("rank") > F.col("p_rank")) & may)
             .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close)
         )
         pairs = stored(meeting.select("node", F.col("p_node").alias("other")).distinct(), "pairs")
-        seen = stored(_distances(pairs, sets, limit), "distances")
+        seen = compared(pairs)
         more = seen.where("linked")
         links = links.union(more)
         labels = _merged(labels, more)
@@ -238,8 +311,8 @@ def jaccard_join(
             rows.where(F.col("rank") > 4**turn)
             .drop("far", "label")
             .join(first_pivot, "cell")
-            .join(seen, ["node", "other"])
-            .select("cell", "node", "far")
+            .join(seen, ["node", "other"], "left")
+            .select("cell", "node", "place", "far")
         )
 
     named = measured.join(labels, "node", "left").select(
@@ -266,11 +339,6 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(renamed.select("node", F.coalesce("new", "label").alias("label")), "classes")
 
 
-def _repeats(texts: DataFrame, sets: DataFrame) -> bool:
-    """Whether a node's set was built more than once: ids that repeat, or null ids."""
-    return not sets.groupBy("node").count().where("count > 1").isEmpty()
-
-
 def _distances(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """Exact sizes of intersection and union of each pair, and whether it links."""
     other = sets.select(F.col("node").alias("other"), F.col("members").alias("others"))
