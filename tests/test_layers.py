@@ -233,13 +233,6 @@ def test_pending(spark):
     assert not incremental.has_pending(up, up)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in incremental.broadcast_if_small(small)._jdf.queryExecution().logical().toString()
-    large = incremental.broadcast_if_small(small, max_rows=5)
-    assert large is small
-
-
 def test_a_message_is_parsed_once(spark, tmp_path):
     path = str(tmp_path / "records")
     records(spark, [event(), event(id=...)]).write.parquet(path)
@@ -252,3 +245,22 @@ def test_a_message_is_parsed_once(spark, tmp_path):
 def test_numeric_types():
     assert "Int8" not in NUMERIC_VALUE_TYPES and len(NUMERIC_VALUE_TYPES) == 9
     assert math.isfinite(json.loads("1e3"))
+
+
+def test_round_half_up_of_large_values(spark):
+    from tidemeter.functions.columns import round_half_up
+
+    values = [1e17, -1e17, float("inf"), 2.345, -2.345, 0.5, None]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r[0] for r in frame.select(round_half_up("v", 2).alias("r")).collect()]
+    assert found == [1e17, -1e17, float("inf"), 2.35, -2.35, 0.5, None]
+
+
+def test_last_of_equal_times(spark):
+    from tidemeter.operators import series
+
+    rows = [("f", i % 7, i, f"t{i}", i % 2 == 0) for i in range(100)]
+    frame = spark.createDataFrame(rows, "field string, kafka_partition int, kafka_offset bigint, value_str string, value_bool boolean")
+    points = frame.withColumns({"ts": at(), "value_num": F.lit(1.0)})
+    found = {tuple(series.last_per_series(points.repartition(n), ["field"]).first()) for n in (1, 3, 8)}
+    assert len(found) == 1 and next(iter(found))[3:] == ("t97", False)

@@ -212,15 +212,12 @@ def test_preview(spark, store):
     assert (preview.status, preview.rows, preview.sample.count()) == ("ok", 30, 20)
 
 
-def test_csv_export(spark, tmp_path, monkeypatch):
-    df = spark.range(100).repartition(4)
-    parts = exports.export_csv(df, str(tmp_path / "parts.csv"))
-    assert spark.read.csv(parts, header=True).count() == 100
-    single = exports.export_csv(df, str(tmp_path / "one.csv"), single_file=True)
-    assert len(spark.read.csv(single).inputFiles()) == 1
-    monkeypatch.setattr(exports, "SINGLE_FILE_ROWS", 10)
-    with pytest.raises(ValueError):
-        exports.export_csv(df, str(tmp_path / "two.csv"), single_file=True)
+def test_csv_export(spark, tmp_path):
+    texts = [None, "", "two\nlines", 'a "quoted", text', "\\N no null", "back\\slash", " spaces "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, note string").repartition(4)
+    exports.export_csv(df, str(tmp_path / "notes.csv"))
+    back = files.csv_asset(spark, str(tmp_path), "notes", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(enumerate(texts))
 
 
 def test_kafka_options():

@@ -78,7 +78,7 @@ def test_run_wide_dataset_columns(spark, tmp_path):
     path = str(tmp_path / "wide")
     made = datasets.run_wide_dataset(reading_frame(spark, data), path, drop_absent=True)
     assert made.columns == ["device_name", "bin", "datetime", "CPUUsage", "Uptime"]
-    back = spark.read.csv(path, header=True).orderBy("bin").collect()
+    back = spark.read.csv(path, header=True, nullValue="\\N").orderBy("bin").collect()
     assert [(r.CPUUsage, r.Uptime) for r in back] == [("1.0", None), ("1.0", "2.0")]
 
 

@@ -49,10 +49,16 @@ def line_protocol_name(name: Column | str) -> Column:
 
 
 def round_half_up(value: Column | str, digits: int) -> Column:
-    """Round as the serving SQL does: scale, round halves away from zero, scale back."""
+    """Round as the serving SQL does: scale, round halves away from zero, scale back.
+
+    From 2**53 on a scaled double has no digits left to round, and ``floor`` would leave the range of its
+    integer type; such values, infinities and NaN stay as they are.
+    """
     column = F.col(value) if isinstance(value, str) else value
     factor = F.lit(10.0**digits)
-    return F.signum(column) * F.floor(F.abs(column) * factor + 0.5) / factor
+    scaled = F.abs(column) * factor
+    rounded = F.signum(column) * F.floor(scaled + 0.5) / factor
+    return F.when(F.isnan(column) | (scaled >= F.lit(2.0**53)), column.cast("double")).otherwise(rounded)
 
 
 def celsius(milli: Column | str) -> Column:

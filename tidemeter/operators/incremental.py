@@ -3,18 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of one or two short columns: a few megabytes at most.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a narrow table after counting it up to a bound; beyond the bound leave the join
-    to the optimizer, which shuffles and splits skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def distinct_batches(table: DataFrame) -> DataFrame:
     return table.select("batch_id").distinct()
@@ -22,7 +10,7 @@ def distinct_batches(table: DataFrame) -> DataFrame:
 
 def pending_batches(upstream: DataFrame, done: DataFrame) -> DataFrame:
     """Rows of the upstream layer whose batch is not among the batches done."""
-    return upstream.join(broadcast_if_small(distinct_batches(done)), "batch_id", "left_anti")
+    return upstream.join(distinct_batches(done), "batch_id", "left_anti")
 
 
 def has_pending(upstream: DataFrame, done: DataFrame) -> bool:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemeter.operators.incremental import broadcast_if_small
 from tidemeter.schemas import NUMERIC_VALUE_TYPES
 
 RESOURCES = (
@@ -60,13 +59,13 @@ def value_fits(value: Column, value_type: Column) -> Column:
 def profile_conformance(readings: DataFrame, dimension: DataFrame) -> DataFrame:
     """Mark readings ``ok``, ``unknown resource`` or ``bad value`` against their profile.
 
-    The dimension is broadcast after its size is checked; a larger one is joined by a shuffle.
+    The optimizer broadcasts a dimension whose size allows it, seen at run time.
     """
     known = dimension.select(
         "profile_name", "resource_name", F.col("value_type").alias("declared_type")
     ).dropDuplicates(["profile_name", "resource_name"])
     checked = readings.join(
-        broadcast_if_small(known), ["profile_name", "resource_name"], "left"
+        known, ["profile_name", "resource_name"], "left"
     )
     verdict = (
         F.when(F.col("declared_type").isNull(), "unknown resource")
@@ -92,5 +91,5 @@ def filter_devices_by_table(
     events: DataFrame, names: DataFrame, filter_out: bool = False, column: str = "device_name"
 ) -> DataFrame:
     """The same for a list too long to write into a query."""
-    listed = broadcast_if_small(names.select(column).distinct())
+    listed = names.select(column).distinct()
     return events.join(listed, column, "left_anti" if filter_out else "left_semi")

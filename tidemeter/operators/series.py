@@ -26,10 +26,11 @@ def range_series(
 
 
 def last_per_series(points: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """Newest number of each series. One row per task and series is all that is shuffled."""
-    return points.groupBy(*keys).agg(
-        F.max("ts").alias("ts"), F.max_by("value_num", "ts").alias("value_num")
-    )
+    """Newest value of each series: number, text or boolean. Of equal times, which all points of a micro-batch
+    have, the last by partition and offset counts. One row per task and series is all that is shuffled."""
+    last = F.max(F.struct(*ARRIVAL, "value_num", "value_str", "value_bool"))
+    chosen = points.groupBy(*keys).agg(last.alias("p"))
+    return chosen.select(*keys, "p.ts", "p.value_num", "p.value_str", "p.value_bool")
 
 
 def first_per_group(points: DataFrame, keys: Sequence[str]) -> DataFrame:

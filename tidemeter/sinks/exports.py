@@ -8,22 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemeter.sinks.tables import TableStore
+from tidemeter.sources.files import CSV_OPTIONS
 
-# A single file is written by one task, so it is only offered for tables of at most this many rows.
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """CSV with header, replacing an earlier export; one part per partition.
-
-    ``single_file`` is for small tables and is refused for larger ones; their parts each carry the
-    header and read back as one table.
-    """
-    if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: export in parts")
-        df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> str:
+    """CSV with header, replacing an earlier export; one part per partition, each with the header, which read
+    back as one table."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 

@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Quotes inside a text are doubled, and null differs from empty text.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 COPY_BLOCK = 8 * 1024 * 1024
 LANDING_PROVIDERS = ("HTTPS", "FTP", "SPARK")
 
@@ -23,8 +32,13 @@ def rows(
 def csv_asset(
     spark: SparkSession, directory: str, asset: str, schema: T.StructType | str
 ) -> DataFrame:
-    """``<asset>.csv`` with a header; the path may be one file or a folder of part files."""
-    return spark.read.schema(schema).option("header", True).csv(f"{directory.rstrip('/')}/{asset}.csv")
+    """``<asset>.csv`` with a header; the path may be one file or a folder of part files. Quoted texts may hold
+    newlines and doubled quotes; ``""`` is empty text, an empty field and ``\\N`` are null."""
+    return read_csv(spark, f"{directory.rstrip('/')}/{asset}.csv", schema)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
 
 
 def landing_path(root: str, dataset: str, url: str) -> str:

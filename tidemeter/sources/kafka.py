@@ -38,10 +38,15 @@ def kafka_options(
 
 
 def kafka_incremental(
-    spark: SparkSession, servers: str, topic: str, min_partitions: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    min_partitions: int | None = None,
+    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
 ) -> DataFrame:
-    """From the earliest offset, lost offsets tolerated, bounded work per micro-batch."""
-    options = kafka_options(servers, topic, "earliest", MAX_OFFSETS_PER_TRIGGER, min_partitions)
+    """From the earliest offset, lost offsets tolerated, ``max_offsets`` records per micro-batch (null: all there
+    are). A large backlog needs a larger number than the default, or it becomes very many micro-batches."""
+    options = kafka_options(servers, topic, "earliest", max_offsets, min_partitions)
     return spark.readStream.format("kafka").options(**options).load()
 
 

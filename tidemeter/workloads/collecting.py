@@ -9,13 +9,13 @@ from tidemeter.operators import collector, profiles
 from tidemeter.operators.bronze import bronze_readings as to_bronze
 from tidemeter.plans import datasets
 from tidemeter.sources.collector import collector_entries
-from tidemeter.workloads.inputs import EV, loaded_at, as_records, events, spread, table
+from tidemeter.workloads.inputs import EV, loaded_at, as_records, events, table
 from tidemeter.workloads.registry import query
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One collector batch per line item; every third document is a bare list."""
-    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    items = table(spark, sf_dir, "lineitem")
 
     def metric(plugin: str, **fields) -> Column:
         return F.concat(

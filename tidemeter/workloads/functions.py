@@ -170,7 +170,7 @@ def flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("5").alias("note"),
         )
     )
-    with_null = F.concat(F.lit('{"none":null,'), F.substring(text, 2, 1_000_000))
+    with_null = F.concat(F.lit('{"none":null,'), F.right(text, F.length(text) - 1))
     members = F.explode(payload.flatten_members(with_null)).alias("m")
     value = F.col("m.value")
     return table(spark, sf_dir, "events").select("event_id", members).select(

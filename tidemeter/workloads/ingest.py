@@ -382,7 +382,7 @@ def export_single_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export in parts and read back. A single file is offered only for small tables."""
     gold = comparable(reading_gold(spark, sf_dir))
     path = exports.export_csv(gold, f"{run_dir(spark, 'export')}/reading_gold.csv")
-    return spark.read.schema(gold.schema).option("header", True).csv(path)
+    return files.read_csv(spark, path, gold.schema)
 
 
 NEWEST_GOLD = "ORDER BY g.window_start DESC, device_name, profile_name, resource_name, g.batch_id"

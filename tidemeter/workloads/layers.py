@@ -21,7 +21,6 @@ from tidemeter.workloads.inputs import (
     reading_bronze,
     reading_gold,
     reading_silver,
-    spread,
     table,
     text_time,
 )
@@ -161,7 +160,7 @@ KINDS = [
 )
 def silver_numeric_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every branch of the dispatch: each line item is a reading of one of the kinds."""
-    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    items = table(spark, sf_dir, "lineitem")
     kind = F.get(
         F.array(*[F.lit(name) for name in KINDS]),
         ((F.col("l_orderkey") + F.col("l_linenumber")) % len(KINDS)).cast("int"),

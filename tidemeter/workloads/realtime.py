@@ -83,9 +83,9 @@ def build_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     POINTS
     + f"""SELECT source_name, device_name, profile_name, {TS_TEXT}, value_num FROM (
-      SELECT source_name, device_name, profile_name, max(ts) AS ts, arg_max(value_num, ts) AS value_num
-      FROM points WHERE field = 'level' AND ts >= {AS_OF_SQL} - INTERVAL 300 minute
-      GROUP BY source_name, device_name, profile_name)"""
+      SELECT *, row_number() OVER (PARTITION BY source_name, device_name, profile_name
+             ORDER BY ts DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+      FROM points WHERE field = 'level' AND ts >= {AS_OF_SQL} - INTERVAL 300 minute) WHERE rn = 1"""
 )
 def last_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = as_of() - F.make_interval(mins=F.lit(300))

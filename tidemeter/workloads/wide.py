@@ -9,6 +9,7 @@ from tidemeter.functions.columns import round_half_up
 from tidemeter.operators import collector, profiles, sessions, wide
 from tidemeter.plans import datasets
 from tidemeter.session import run_dir
+from tidemeter.sources.files import read_csv
 from tidemeter.workloads.inputs import EV, events, table
 from tidemeter.workloads.registry import query
 
@@ -74,7 +75,7 @@ def run_wide_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the dataset as CSV and read it back."""
     path = run_dir(spark, "wide")
     made = datasets.run_wide_dataset(readings(spark, sf_dir), path, METRICS, BIN_NS)
-    return with_text_time(spark.read.schema(made.schema).option("header", True).csv(path))
+    return with_text_time(read_csv(spark, path, made.schema))
 
 
 @query(
