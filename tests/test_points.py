@@ -74,6 +74,8 @@ PAYLOADS = [
     ["{'a': 1}"],
     ["{}"],
     ['{"c": "  {\\"d\\": 2}  ", "e": "{broken"}'],
+    ['{"a": 1}]', '{"a": 1}]}', '{"a": 1}] x', '{"a": 1},{"b": 2}', '{"a": 1},{"seal": "1"}]', '{"a": 1},"seal": 1}'],
+    ['{"c": "{\\"d\\": 2}] x", "seal": "s"}'],
 ]
 
 
@@ -154,12 +156,13 @@ def test_repeated_top_level_key_counts_once(spark):
 
 def test_invalid_messages_are_dropped(spark):
     values = [event(), "{cut", "[1]", "7", "null", None, b"\xff\xfe{}", '{"a": 1} x', '{"a": 1}{"b": 2}']
+    values += ['{"a":1}]', '{"a":1}]}', '{"a":1}] x', "[1]] x", '{"a":1},"end":1}', '{"a":1},{"seal":"1"}]']
     valid = points.valid_events(records(spark, values))
     assert [r.offset for r in valid.collect()] == [0]
     marked = points.dead_letter_status(points.parse_records(records(spark, values)))
     assert {r.status: r["count"] for r in marked.groupBy("status").count().collect()} == {
         "valid": 1,
-        "invalid": 8,
+        "invalid": 14,
     }
 
 
@@ -181,10 +184,10 @@ def test_documents_are_stamped(spark):
 
 
 def test_normalize(spark):
-    values = ['{ "b" : 1, "a": [1, 2] }', "{cut", "7 8", b"\xff"]
+    values = ['{ "b" : 1, "a": [1, 2] }', "{cut", "7 8", b"\xff", '{"a":1}] lost', "[1]] x", "1,2", ""]
     got = [(r.was_json, bytes(r.value)) for r in points.normalize_json_bytes(records(spark, values)).collect()]
     assert got[0][0] and json.loads(got[0][1]) == {"a": [1, 2], "b": 1}
-    assert got[1:] == [(False, b"{cut"), (False, b"7 8"), (False, b"\xff")]
+    assert got[1:] == [(False, v if isinstance(v, bytes) else v.encode()) for v in values[1:]]
 
 
 def test_points_do_not_shuffle(spark):

@@ -22,21 +22,40 @@ def json_object(text: Column) -> Column:
     """Text that is exactly one JSON object -> map of variants in document order; else null. Of
     repeated keys the last value counts.
 
-    The JSON reader stops after the first value; wrapping the text in brackets makes it fail on
-    anything that follows. Text that does not open like an object is not given to the reader, for
-    which every malformed text is a costly exception.
+    The JSON reader stops after the first value, so the text is read as the first of two items of an
+    array. The second is a seal, the hash of the text: a text that closes the array itself or brings
+    items of its own does not end with it. Text that does not open like an object is not given to the
+    reader, for which every malformed text is a costly exception.
     """
-    opens = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
-    wrapped = F.when(opens, F.concat(F.lit("["), text, F.lit("]")))
-    parsed = F.from_json(wrapped, T.ArrayType(VARIANT_MAP), JSON_OPTIONS)
-    return unique_keys(let(parsed, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0)))))
+
+    def read(whole: Column) -> Column:
+        opens = F.ltrim(whole, F.lit(" \t\r\n")).startswith("{")
+        sealed = F.concat(F.lit("["), whole, F.lit(',{"seal":"'), _seal(whole), F.lit('"}]'))
+        parsed = F.from_json(F.when(opens, sealed), T.ArrayType(VARIANT_MAP), JSON_OPTIONS)
+        return let(parsed, lambda p: _sealed_item(p, F.get(p, F.lit(1))["seal"], whole))
+
+    return unique_keys(let(text, read))
 
 
 def json_document(text: Column) -> Column:
-    """Text that is exactly one JSON value of any kind -> variant; else null."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    items = F.try_variant_get(wrapped, "$", "array<variant>")
-    return let(items, lambda p: F.when(F.size(p) == 1, F.get(p, F.lit(0))))
+    """Text that is exactly one JSON value of any kind -> variant; else null. Sealed as above."""
+
+    def read(whole: Column) -> Column:
+        sealed = F.concat(F.lit("["), whole, F.lit(',"'), _seal(whole), F.lit('"]'))
+        items = F.try_variant_get(F.try_parse_json(sealed), "$", "array<variant>")
+        return let(items, lambda p: _sealed_item(p, F.get(p, F.lit(1)), whole))
+
+    return let(text, read)
+
+
+def _seal(text: Column) -> Column:
+    return F.xxhash64(text).cast("string")
+
+
+def _sealed_item(items: Column, seal: Column, text: Column) -> Column:
+    """The first of exactly two items, if the second holds the seal of the text."""
+    whole = (F.size(items) == 2) & (F.try_variant_get(seal, "$", "string") == _seal(text))
+    return F.when(whole, F.get(items, F.lit(0)))
 
 
 def utf8_text(value: Column) -> Column:
