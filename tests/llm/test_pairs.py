@@ -12,7 +12,7 @@ from frames import ALNUM, awkward, clashing, documents, rows, sentence, words
 
 from tidemeter.llm.components import components
 from tidemeter.llm.decontamination import decontaminate
-from tidemeter.llm.jaccard_join import jaccard_join
+from tidemeter.llm.jaccard_join import jaccard_join, parities
 from tidemeter.llm.words import SPACED, word_hashes
 
 
@@ -51,6 +51,21 @@ def edited(text, rng, changes):
     return " ".join(found)
 
 
+def test_parities_never_differ_in_more_bits_than_the_sets_in_members():
+    rng = np.random.default_rng(5)
+    universe = rng.integers(0, 2**63, 3_000, dtype=np.uint64)
+    base = universe[:400]
+    sets = [base[:0], base, base, np.delete(base, 3), *(np.unique(np.append(base[k:], universe[400 : 400 + 40 * k])) for k in range(1, 60))]
+    sizes = np.array([len(s) for s in sets])
+    found = np.array(parities(sizes, np.concatenate(sets))).T.view(np.uint64)
+    bits = lambda a, b: sum(int(x).bit_count() for x in a ^ b)
+    assert bits(found[1], found[2]) == 0 and bits(found[1], found[3]) == 1
+    assert not found[0].any()
+    for one, a in zip(sets, found):
+        for other, b in zip(sets, found):
+            assert bits(a, b) <= len(np.setxor1d(one, other))
+
+
 def near_copies():
     """Chains, dense groups around a hidden base, and unrelated texts that share most of their words."""
     rng = random.Random(7)
@@ -62,6 +77,8 @@ def near_copies():
         for i in range(10):
             chain = edited(chain, rng, 1)
             data.append((1000 * group + 500 + i, chain, "en", "b", 1))
+    border = sentence(998, 120)
+    data += [(7000 + i, edited(border, rng, 2 + i % 4), "en", "d", 1) for i in range(60)]
     passage = sentence(999, 80)
     data += [(9000 + i, passage + " " + sentence(2000 + i, 20), "en", "c", 1) for i in range(30)]
     return data

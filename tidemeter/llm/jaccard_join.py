@@ -21,8 +21,10 @@ that shares a cell with it.
 other: they are in one class. A cell whose members are not yet of one class is joined again, with four times as
 many pivots each time: those nearest to the pivot before, which are the most central. The first of them is compared with
 all members and so gives the next windows; another pivot p and a member x of another class are compared only if their
-distances to the last first pivot differ by at most r. Then the pivots leave the cell. So a dense group of n near
-copies costs about n comparisons; only members of one cell that stay unlinked cost more.
+distances to the last first pivot differ by at most r and their parities allow it. A parity is 256 bits, each the number of
+members that hash to it, modulo 2: two parities differ in no more bits than the sets differ in members. Then the pivots leave the cell.
+So a dense group of n near copies costs about n comparisons; members of one cell that stay unlinked are still met pair by pair, but
+only those whose parities are close have their sets compared.
 
 Equal sets collapse to one node first. A pair is compared only if, were the cell's shingle the first they share, enough
 would follow it on both sides; a linked pair passes this in the cell of its first shared shingle. Only the sets of such
@@ -53,6 +55,9 @@ EPSILON = 1e-9
 SKETCH_BITS = 17
 SKETCH_PARTS = 16
 
+# Words of 64 bits of a set's parity.
+PARITY = ("parity_0", "parity_1", "parity_2", "parity_3")
+
 
 @dataclass(frozen=True)
 class Threshold:
@@ -76,6 +81,12 @@ class Threshold:
         left = F.least(size - F.col(first).bitwiseAND(2**32 - 1), other - F.col(second).bitwiseAND(2**32 - 1))
         return left * (self.num + self.den) >= (size + other) * self.num
 
+    def near(self) -> Column:
+        """Whether the parities of a row and a pivot differ in no more bits than linked sets differ in members."""
+        differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in PARITY), F.lit(0)).cast("long")
+        total = F.shiftright("place", 32) + F.shiftright("p_place", 32)
+        return differ * (self.num + self.den) <= total * (self.den - self.num)
+
     def largest(self, size: np.ndarray) -> np.ndarray:
         return size * self.den // self.num
 
@@ -111,6 +122,18 @@ def digests(sizes: np.ndarray, members: np.ndarray) -> np.ndarray:
         return mix(sums[ends] - sums[ends - sizes] + sizes.astype(U64), 4).view(np.int64)
 
 
+def parities(sizes: np.ndarray, members: np.ndarray) -> list[np.ndarray]:
+    """The parity of each set, word by word: the difference (xor) of running parities at its ends."""
+    ends = np.cumsum(sizes)
+    bit = mix(members, 14)
+    word, one = bit >> U64(62), U64(1) << (bit & U64(63))
+    found = []
+    for number in range(len(PARITY)):
+        running = np.concatenate([np.zeros(1, dtype=U64), np.bitwise_xor.accumulate(np.where(word == U64(number), one, U64(0)))])
+        found.append((running[ends] ^ running[ends - sizes]).view(np.int64))
+    return found
+
+
 Cells = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -199,16 +222,15 @@ def jaccard_join(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and at the end one with the task's shingle counts."""
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
-        names = ["id", "node", "n", "counts"]
+        names = ["id", "node", "n", *PARITY, "counts"]
         for batch in batches:
-            nodes, total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            found = [[np.zeros(0, np.int64)] * (2 + len(PARITY))]
             for _, sizes, members in shingle_sets(batch["text"], words):
-                nodes.append(digests(sizes, members))
-                total.append(sizes)
+                found.append([digests(sizes, members), sizes, *parities(sizes, members)])
                 counts += np.bincount(bucket(members), minlength=len(counts)).astype(np.uint64)
-            rows = [batch["id"], pa.array(np.concatenate(nodes)), pa.array(np.concatenate(total))]
+            rows = [batch["id"], *(pa.array(np.concatenate(column)) for column in zip(*found))]
             yield pa.RecordBatch.from_arrays([*rows, pa.nulls(len(batch), pa.binary())], names)
-        none = [pa.nulls(1, arrow_kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
+        none = [pa.nulls(1, arrow_kind), *(pa.nulls(1, pa.int64()) for _ in names[1:-1])]
         yield pa.RecordBatch.from_arrays([*none, pa.array([packed(counts)], pa.binary())], names)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +251,8 @@ def jaccard_join(
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), lists], ["node", "members"])
 
     arrow_kind = to_arrow_type(texts.schema["id"].dataType)
-    passed = stored(texts.mapInArrow(measure, f"id {kind}, node bigint, n bigint, counts binary"), "sets")
+    numbers = ", ".join(f"{name} bigint" for name in ("node", "n", *PARITY))
+    passed = stored(texts.mapInArrow(measure, f"id {kind}, {numbers}, counts binary"), "sets")
     measured = passed.where("n IS NOT NULL").drop("counts")
     sketches = passed.where("counts IS NOT NULL").select("counts").repartition(SKETCH_PARTS).mapInArrow(add_up, "counts binary")
     counts = sum((unpacked(row["counts"]) for row in sketches.collect()), np.zeros(1 << SKETCH_BITS, dtype=np.uint64))
@@ -245,7 +268,7 @@ def jaccard_join(
         return pa.RecordBatch.from_arrays(columns, ["cell", "node", "place"])
 
     some = measured.where("n > 0")
-    first = stored(some.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n")), "first")
+    first = stored(some.groupBy("node").agg(F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", *PARITY))), "first")
     copies = some.join(first.select("node", F.col("id").alias("kept")), "node").where(F.col("id") != F.col("kept"))
     skipped = stored(copies.select("id").distinct().join(first, "id", "left_anti"), "copies")
     spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
@@ -274,7 +297,7 @@ def jaccard_join(
 
     seen = compared(pairs)
     links = seen.where("linked")
-    labels = _merged(nodes.select("node", F.col("node").alias("label")), links)
+    labels = _merged(nodes.select("node", *PARITY, F.col("node").alias("label")), links)
     radius = 1 - num / den + EPSILON
     # A member that cannot link to its pivot may have no distance, and then has no window.
     far = seen.select("node", F.col("other").alias("pivot"), "far")
@@ -289,17 +312,17 @@ def jaccard_join(
             .where(F.col("least") != F.col("most"))
             .withColumn("rank", F.row_number().over(cell.orderBy(F.asc_nulls_last("far"), "node")))
         )
-        rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank"), "open")
+        rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank", *PARITY), "open")
         if rows.isEmpty():
             break
         pivots = rows.where(F.col("rank") <= 4**turn).select(
-            "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "place", "far", "label", "rank"))
+            "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "place", "far", "label", "rank", *PARITY))
         )
         close = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius, F.lit(True))
         meeting = (
             rows.join(pivots, "cell")
             .where((F.col("rank") > F.col("p_rank")) & may)
-            .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close)
+            .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close & limit.near())
         )
         pairs = stored(meeting.select("node", F.col("p_node").alias("other")).distinct(), "pairs")
         seen = compared(pairs)
@@ -309,7 +332,7 @@ def jaccard_join(
         first_pivot = pivots.where("p_rank = 1").select("cell", F.col("p_node").alias("other"))
         active = (
             rows.where(F.col("rank") > 4**turn)
-            .drop("far", "label")
+            .select("cell", "node", "place")
             .join(first_pivot, "cell")
             .join(seen, ["node", "other"], "left")
             .select("cell", "node", "place", "far")
@@ -336,7 +359,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         return labels
     moved = components(edges).select(F.col("node").alias("old"), F.col("label").alias("new"))
     renamed = labels.join(moved, F.col("label") == F.col("old"), "left")
-    return stored(renamed.select("node", F.coalesce("new", "label").alias("label")), "classes")
+    return stored(renamed.select("node", *PARITY, F.coalesce("new", "label").alias("label")), "classes")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
