@@ -18,7 +18,7 @@ R non-empty segments gives its empty ones too. Each cell's smallest member is it
 that shares a cell with it.
 
 *Recursion.* Distances to the pivot are computed. Members within r link to it, and need not be compared with each
-other: they are in one class. A cell whose members are not yet of one class is joined again, with four times as
+other: they are in one class. A cell whose members are not yet of one class is joined again, with sixteen times as
 many pivots each time: those nearest to the pivot before, which are the most central. The first of them is compared with
 all members and so gives the next windows; another pivot p and a member x of another class are compared only if their
 distances to the last first pivot differ by at most r and their parities allow it. A parity is 256 bits, each the number of
@@ -315,7 +315,7 @@ def jaccard_join(
         rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank", *PARITY), "open")
         if rows.isEmpty():
             break
-        pivots = rows.where(F.col("rank") <= 4**turn).select(
+        pivots = rows.where(F.col("rank") <= 16**turn).select(
             "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "place", "far", "label", "rank", *PARITY))
         )
         close = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius, F.lit(True))
@@ -331,7 +331,7 @@ def jaccard_join(
         labels = _merged(labels, more)
         first_pivot = pivots.where("p_rank = 1").select("cell", F.col("p_node").alias("other"))
         active = (
-            rows.where(F.col("rank") > 4**turn)
+            rows.where(F.col("rank") > 16**turn)
             .select("cell", "node", "place")
             .join(first_pivot, "cell")
             .join(seen, ["node", "other"], "left")
