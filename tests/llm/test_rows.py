@@ -119,6 +119,31 @@ def test_templates_generalise_merge_and_reject(spark):
     assert len({found[2000 + i] for i in range(300)}) == 1
 
 
+def judged_urls(spark, branches, limits=TemplateLimits()):
+    """(template, verdict) of each branch (path, pages, labelled pages, bad pages), all on one host."""
+    data, labels, at = [], [], {}
+    for path, count, labelled, bad in branches:
+        at[path] = len(data)
+        for i in range(count):
+            if i < labelled:
+                labels.append((len(data), int(i < bad)))
+            data.append((len(data), f"http://a.com/{path}/{i}"))
+    pages = spark.createDataFrame(data, "page_id bigint, url string")
+    found = filter_urls(pages, spark.createDataFrame(labels, "id bigint, bad int"), [], limits)
+    rows = {r["page_id"]: (r["template"], r["verdict"]) for r in found.collect()}
+    assert len(rows) == len(data)
+    return {path: rows[i] for path, i in at.items()}
+
+
+@pytest.mark.parametrize("more", [0, 60])
+def test_unlabelled_branches_are_no_bridge(spark, more):
+    few = [("halves", 4, 2, 1)]
+    found = judged_urls(spark, [("good", 100 + more, 100 + more, 0), ("bad", 160 - more, 160 - more, 160 - more), ("none", 50, 0, 0), *few])
+    assert found["good"][1] == "allow" and found["bad"][1] == "block"
+    assert len({found["good"][0], found["bad"][0]}) == 2
+    assert found["none"][0] in (found["good"][0], found["bad"][0])
+
+
 # Licences
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemeter.llm.shared import prepared, stored
+from tidemeter.llm.shared import map_arrow, prepared, stored
+
+# Steps of the rates by which branches are summed before they are compared.
+RATES = 4096
 
 # A path part of digits, of hexadecimal digits or with a long number is variable whatever its neighbours are.
 VARIABLE = r"^([0-9]+|[0-9a-fA-F]{8,}|[^/]*[0-9]{3,}[^/]*)(\.[A-Za-z0-9]+)?$"
@@ -16,8 +21,9 @@ VARIABLE = r"^([0-9]+|[0-9a-fA-F]{8,}|[^/]*[0-9]{3,}[^/]*)(\.[A-Za-z0-9]+)?$"
 
 @dataclass(frozen=True)
 class TemplateLimits:
-    """``fan_out``: a node of the tree with more children is a wildcard. ``same_rate``: neighbouring branches whose
-    labelled rates differ by fewer standard errors are one. ``prior``: pseudo-counts that pull a template's rate
+    """``fan_out``: a node of the tree with more children is a wildcard. ``same_rate``: a branch whose labelled rate differs
+    from that of a group by fewer standard errors joins it. ``support``: branches of fewer labels form no groups
+    that others are compared with, unless there is none to join. ``prior``: pseudo-counts that pull a template's rate
     to that of its host, and a host's to that of all. ``max_bad``: a template over this rate is blocked.
     ``depth``: deeper parts of a path share one tail ``**``, as part of the template's definition."""
 
@@ -26,6 +32,7 @@ class TemplateLimits:
     prior: float = 10.0
     max_bad: float = 0.5
     depth: int = 8
+    support: int = 10
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -55,40 +62,115 @@ def _parts(path: Column, depth: int) -> Column:
     return F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
 
 
+def _error(labelled: float, bad: float) -> tuple[float, float]:
+    """Rate and its squared standard error, of one more good and one more bad label."""
+    rate = (bad + 1) / (labelled + 2)
+    return rate, rate * (1 - rate) / (labelled + 2)
+
+
+def branch_names(entries: list[dict], limits: TemplateLimits) -> list[str | None]:
+    """The name of each entry's children in the templates of one node: a wildcard, a merged branch, or null for their own.
+
+    An entry holds ``count`` children of like rate and support. A node of more than ``fan_out`` children is a wildcard.
+    Others form groups in the order of their rates: a branch of at least ``support`` labels joins the group before
+    if it differs from the pooled rate by fewer than ``same_rate`` standard errors, widened by the number of
+    branches that are compared; then those of fewer labels join the nearest group, or are groups of their own; last, those without
+    labels join the group nearest to the rate of all. Groups never merge, so none is a bridge between others.
+    """
+    if sum(e["count"] for e in entries) > limits.fan_out:
+        return ["*"] * len(entries)
+    names: list[str | None] = [None] * len(entries)
+    known = [i for i in range(len(entries)) if entries[i]["labelled"]]
+    compared = sum(entries[i]["count"] for i in known)
+    widest = _widest(compared, limits)
+    groups: list[list[float]] = []  # labelled, bad
+    members: list[list[int]] = []
+
+    def distance(i: int, group: list[float]) -> float:
+        e = entries[i]
+        rate, error = _error(e["labelled"] / e["count"], e["bad"] / e["count"])
+        other, more = _error(*group)
+        return abs(rate - other) / math.sqrt(error + more)
+
+    def join(i: int, at: int | None) -> None:
+        if at is None:
+            at = len(groups)
+            groups.append([0, 0])
+            members.append([])
+        groups[at][0] += entries[i]["labelled"]
+        groups[at][1] += entries[i]["bad"]
+        members[at].append(i)
+
+    supported = lambda i: entries[i]["labelled"] >= limits.support * entries[i]["count"]
+    rate_order = lambda i: (entries[i]["bad"] / entries[i]["labelled"], -entries[i]["labelled"], entries[i]["first"])
+    for i in sorted(filter(supported, known), key=rate_order):
+        near = bool(groups) and distance(i, groups[-1]) < widest
+        join(i, len(groups) - 1 if near else None)
+    for i in sorted((i for i in known if not supported(i)), key=rate_order):
+        gaps = [distance(i, g) for g in groups]
+        join(i, gaps.index(min(gaps)) if gaps and min(gaps) < widest else None)
+    without = [i for i in range(len(entries)) if not entries[i]["labelled"]]
+    if without and groups:
+        overall = sum(g[1] for g in groups) / sum(g[0] for g in groups)
+        gaps = [(abs(g[1] / g[0] - overall), g[1] / g[0]) for g in groups]
+        members[gaps.index(min(gaps))] += without
+    elif without:
+        members.append(without)
+    for group in members:
+        if sum(entries[i]["count"] for i in group) > 1:
+            name = "{" + min(entries[i]["first"] for i in group) + ",..}"
+            for i in group:
+                names[i] = name
+    return names
+
+
+def _widest(compared: int, limits: TemplateLimits) -> float:
+    """Standard errors that the farthest of so many equal branches stays within, and ``same_rate`` for one."""
+    return math.sqrt(limits.same_rate**2 + 2 * math.log(max(1, compared)))
+
+
 def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
     """``paths``: host, parts, n, labelled, bad. Adds ``template``: wildcards level by level, then merged branches.
 
-    Each level counts the children of every node; the number of levels is bounded by ``depth``. Constant children are
-    at most ``fan_out`` by node, so merging sorts small groups.
+    Each level counts the children of every node; the number of levels is bounded by ``depth``. Children of a node
+    are summed by rate (in steps of 1/RATES) and by power of two of their labels, so that what is decided at once for a node
+    is bounded whatever the number of its children.
     """
+    key = ["host", "prefix", "steps", "power"]
+
+    def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = []
+        for row in batch.to_pylist():
+            for e, name in zip(row["entries"], branch_names(row["entries"], limits)):
+                made.append((row["host"], row["prefix"], e["steps"], e["power"], name))
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)], [*key, "name"])
+
     tree = paths.withColumn("prefix", F.lit(""))
     levels = paths.agg(F.max(F.size("parts"))).first()[0] or 0
     for level in range(levels):
         part = F.get("parts", F.lit(level))
         children = (
-            tree.where(part.isNotNull())
+            tree.where(part.isNotNull() & ~part.isin("*", "**"))
             .groupBy("host", "prefix", part.alias("part"))
             .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         )
-        node = Window.partitionBy("host", "prefix")
-        wild = (F.count(F.lit(1)).over(node) > limits.fan_out) | F.col("part").isin("*", "**")
-        marked = children.withColumn("wild", wild)
-        # Branches in the order of their rates; where the step to the next is not significant, they merge.
-        rate = (F.col("bad") + 1) / (F.col("labelled") + 2)
-        error = rate * (1 - rate) / (F.col("labelled") + 2)
-        order = Window.partitionBy("host", "prefix", "wild").orderBy("rate", "part")
-        ranked = marked.withColumns({"rate": rate, "error": error})
-        step = (F.col("rate") - F.lag("rate").over(order)) / F.sqrt(F.col("error") + F.lag("error").over(order))
-        cut = ranked.withColumn("cut", (F.coalesce(step, F.lit(0.0)) >= limits.same_rate).cast("int"))
-        branch = cut.withColumn("branch", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        first = F.min("part").over(Window.partitionBy("host", "prefix", "wild", "branch"))
-        several = F.count(F.lit(1)).over(Window.partitionBy("host", "prefix", "wild", "branch")) > 1
-        name = F.when(F.col("wild"), F.lit("*")).when(several, F.concat(F.lit("{"), first, F.lit(",..}"))).otherwise(F.col("part"))
-        names = branch.select(
-            F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_part"), name.alias("_name")
+        some = F.col("labelled") > 0
+        steps = F.when(some, F.floor(F.col("bad") / F.col("labelled") * RATES)).otherwise(F.lit(-1)).cast("long")
+        power = F.when(some, F.floor(F.log2("labelled"))).otherwise(F.lit(-1)).cast("long")
+        binned = children.withColumns({"steps": steps, "power": power})
+        sums = binned.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("count"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.min("part").alias("first")
+        )
+        entry = F.struct("steps", "power", "count", "labelled", "bad", "first")
+        nodes = sums.groupBy("host", "prefix").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        decided = map_arrow(nodes, decide, "host string, prefix string, steps bigint, power bigint, name string")
+        names = binned.join(decided, key).select(
+            F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_part"), F.coalesce("name", "part").alias("_name")
         )
         joined = tree.join(names, (tree["host"] == F.col("_h")) & (tree["prefix"] == F.col("_p")) & (part == F.col("_part")), "left")
-        longer = F.when(F.col("_name").isNull(), F.col("prefix")).otherwise(F.concat_ws("/", "prefix", "_name"))
+        name = F.when(part.isin("*", "**"), F.lit("*")).otherwise(F.col("_name"))
+        longer = F.when(part.isNull(), F.col("prefix")).otherwise(F.concat_ws("/", "prefix", name))
         tree = stored(joined.withColumn("prefix", longer).drop("_h", "_p", "_part", "_name"), "tree")
     return tree.withColumn("template", F.when(F.col("prefix") == "", F.lit("/")).otherwise(F.col("prefix"))).drop("prefix")
 
