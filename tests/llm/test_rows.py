@@ -144,6 +144,16 @@ def test_unlabelled_branches_are_no_bridge(spark, more):
     assert found["none"][0] in (found["good"][0], found["bad"][0])
 
 
+@pytest.mark.parametrize("sections", [19, 40])
+def test_wide_nodes_keep_supported_branches(spark, sections):
+    branches = [(f"good{chr(97 + i // 26)}{chr(97 + i % 26)}", 40, 30, 0) for i in range(sections)]
+    small = [(f"tiny{chr(97 + i // 26)}{chr(97 + i % 26)}", 3, 1, 0) for i in range(30)]
+    found = judged_urls(spark, [*branches, *small, ("spam", 40, 30, 30), ("few", 9, 9, 9), ("onebad", 1, 1, 1)])
+    assert {found[b[0]][1] for b in branches} == {"allow"}
+    assert found["spam"][1] == "block" and found["few"] == found["spam"]
+    assert {found[b[0]] for b in small} == {("/*/*", "allow")} == {found["onebad"]}
+
+
 # Licences
 
 

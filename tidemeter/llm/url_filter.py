@@ -21,7 +21,7 @@ VARIABLE = r"^([0-9]+|[0-9a-fA-F]{8,}|[^/]*[0-9]{3,}[^/]*)(\.[A-Za-z0-9]+)?$"
 
 @dataclass(frozen=True)
 class TemplateLimits:
-    """``fan_out``: a node of the tree with more children is a wildcard. ``same_rate``: a branch whose labelled rate differs
+    """``fan_out``: more children of a node with fewer than ``support`` pages each are a wildcard. ``same_rate``: a branch whose labelled rate differs
     from that of a group by fewer standard errors joins it. ``support``: branches of fewer labels form no groups
     that others are compared with, unless there is none to join. ``prior``: pseudo-counts that pull a template's rate
     to that of its host, and a host's to that of all. ``max_bad``: a template over this rate is blocked.
@@ -62,35 +62,41 @@ def _parts(path: Column, depth: int) -> Column:
     return F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
 
 
-def _error(labelled: float, bad: float) -> tuple[float, float]:
-    """Rate and its squared standard error, of one more good and one more bad label."""
-    rate = (bad + 1) / (labelled + 2)
-    return rate, rate * (1 - rate) / (labelled + 2)
+def _distance(one: Sequence[float], other: Sequence[float]) -> float:
+    """Standard errors between the rates of two (labelled, bad), each with one more good and one more bad label."""
+    rates = [(bad + 1) / (labelled + 2) for labelled, bad in (one, other)]
+    errors = [rate * (1 - rate) / (labelled + 2) for rate, (labelled, _) in zip(rates, (one, other))]
+    return abs(rates[0] - rates[1]) / math.sqrt(sum(errors))
 
 
 def branch_names(entries: list[dict], limits: TemplateLimits) -> list[str | None]:
     """The name of each entry's children in the templates of one node: a wildcard, a merged branch, or null for their own.
 
-    An entry holds ``count`` children of like rate and support. A node of more than ``fan_out`` children is a wildcard.
-    Others form groups in the order of their rates: a branch of at least ``support`` labels joins the group before
+    An entry holds ``count`` children of like rate and support. More than ``fan_out`` children of few pages (``small``) are
+    a wildcard, but for those whose labels differ from the rest of the small ones. All others form groups in the order of their rates: a branch of at least ``support`` labels joins the group before
     if it differs from the pooled rate by fewer than ``same_rate`` standard errors, widened by the number of
     branches that are compared; then those of fewer labels join the nearest group, or are groups of their own; last, those without
     labels join the group nearest to the rate of all. Groups never merge, so none is a bridge between others.
     """
-    if sum(e["count"] for e in entries) > limits.fan_out:
-        return ["*"] * len(entries)
     names: list[str | None] = [None] * len(entries)
-    known = [i for i in range(len(entries)) if entries[i]["labelled"]]
+    small = [e for e in entries if e["small"]]
+    if sum(e["count"] for e in small) > limits.fan_out:
+        labelled, bad = sum(e["labelled"] for e in small), sum(e["bad"] for e in small)
+        widest = _widest(sum(e["count"] for e in small if e["labelled"]), limits)
+        for i, e in enumerate(entries):
+            own = e["labelled"] / e["count"], e["bad"] / e["count"]
+            if e["small"] and _distance(own, (labelled - own[0], bad - own[1])) < widest:
+                names[i] = "*"
+    constant = [i for i in range(len(entries)) if names[i] is None]
+    known = [i for i in constant if entries[i]["labelled"]]
     compared = sum(entries[i]["count"] for i in known)
     widest = _widest(compared, limits)
     groups: list[list[float]] = []  # labelled, bad
     members: list[list[int]] = []
 
-    def distance(i: int, group: list[float]) -> float:
+    def distance(i: int, group: Sequence[float]) -> float:
         e = entries[i]
-        rate, error = _error(e["labelled"] / e["count"], e["bad"] / e["count"])
-        other, more = _error(*group)
-        return abs(rate - other) / math.sqrt(error + more)
+        return _distance((e["labelled"] / e["count"], e["bad"] / e["count"]), group)
 
     def join(i: int, at: int | None) -> None:
         if at is None:
@@ -109,7 +115,7 @@ def branch_names(entries: list[dict], limits: TemplateLimits) -> list[str | None
     for i in sorted((i for i in known if not supported(i)), key=rate_order):
         gaps = [distance(i, g) for g in groups]
         join(i, gaps.index(min(gaps)) if gaps and min(gaps) < widest else None)
-    without = [i for i in range(len(entries)) if not entries[i]["labelled"]]
+    without = [i for i in constant if not entries[i]["labelled"]]
     if without and groups:
         overall = sum(g[1] for g in groups) / sum(g[0] for g in groups)
         gaps = [(abs(g[1] / g[0] - overall), g[1] / g[0]) for g in groups]
@@ -136,14 +142,14 @@ def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
     are summed by rate (in steps of 1/RATES) and by power of two of their labels, so that what is decided at once for a node
     is bounded whatever the number of its children.
     """
-    key = ["host", "prefix", "steps", "power"]
+    key = ["host", "prefix", "small", "steps", "power"]
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = []
         for row in batch.to_pylist():
             for e, name in zip(row["entries"], branch_names(row["entries"], limits)):
-                made.append((row["host"], row["prefix"], e["steps"], e["power"], name))
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+                made.append((row["host"], row["prefix"], e["small"], e["steps"], e["power"], name))
+        kinds = [pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)], [*key, "name"])
 
     tree = paths.withColumn("prefix", F.lit(""))
@@ -158,13 +164,13 @@ def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
         some = F.col("labelled") > 0
         steps = F.when(some, F.floor(F.col("bad") / F.col("labelled") * RATES)).otherwise(F.lit(-1)).cast("long")
         power = F.when(some, F.floor(F.log2("labelled"))).otherwise(F.lit(-1)).cast("long")
-        binned = children.withColumns({"steps": steps, "power": power})
+        binned = children.withColumns({"small": F.col("n") < limits.support, "steps": steps, "power": power})
         sums = binned.groupBy(*key).agg(
             F.count(F.lit(1)).alias("count"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"), F.min("part").alias("first")
         )
-        entry = F.struct("steps", "power", "count", "labelled", "bad", "first")
+        entry = F.struct("small", "steps", "power", "count", "labelled", "bad", "first")
         nodes = sums.groupBy("host", "prefix").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        decided = map_arrow(nodes, decide, "host string, prefix string, steps bigint, power bigint, name string")
+        decided = map_arrow(nodes, decide, "host string, prefix string, small boolean, steps bigint, power bigint, name string")
         names = binned.join(decided, key).select(
             F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_part"), F.coalesce("name", "part").alias("_name")
         )
