@@ -154,6 +154,14 @@ def test_wide_nodes_keep_supported_branches(spark, sections):
     assert {found[b[0]] for b in small} == {("/*/*", "allow")} == {found["onebad"]}
 
 
+def test_paths_are_not_cut(spark):
+    start = "/".join("abcdefghijkl")
+    found = judged_urls(spark, [(f"{start}/good", 60, 60, 0), (f"{start}/bad", 60, 60, 60), (f"{start}/bad/more/yet", 1, 0, 0)])
+    assert found[f"{start}/good"] == (f"/{start}/good/*", "allow")
+    assert found[f"{start}/bad"] == (f"/{start}/bad/*", "block")
+    assert found[f"{start}/bad/more/yet"][0] == f"/{start}/bad/more/yet/*"
+
+
 # Licences
 
 

@@ -24,14 +24,12 @@ class TemplateLimits:
     """``fan_out``: more children of a node with fewer than ``support`` pages each are a wildcard. ``same_rate``: a branch whose labelled rate differs
     from that of a group by fewer standard errors joins it. ``support``: branches of fewer labels form no groups
     that others are compared with, unless there is none to join. ``prior``: pseudo-counts that pull a template's rate
-    to that of its host, and a host's to that of all. ``max_bad``: a template over this rate is blocked.
-    ``depth``: deeper parts of a path share one tail ``**``, as part of the template's definition."""
+    to that of its host, and a host's to that of all. ``max_bad``: a template over this rate is blocked."""
 
     fan_out: int = 20
     same_rate: float = 1.96
     prior: float = 10.0
     max_bad: float = 0.5
-    depth: int = 8
     support: int = 10
 
 
@@ -54,12 +52,11 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return chosen
 
 
-def _parts(path: Column, depth: int) -> Column:
-    """Path parts, clearly variable ones as *, all beyond the depth as one **."""
-    parts = F.transform(
+def _parts(path: Column) -> Column:
+    """Path parts, clearly variable ones as *."""
+    return F.transform(
         F.filter(F.split(path, "/"), lambda p: p != ""), lambda p: F.when(p.rlike(VARIABLE), F.lit("*")).otherwise(p)
     )
-    return F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
 
 
 def _distance(one: Sequence[float], other: Sequence[float]) -> float:
@@ -138,7 +135,7 @@ def _widest(compared: int, limits: TemplateLimits) -> float:
 def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
     """``paths``: host, parts, n, labelled, bad. Adds ``template``: wildcards level by level, then merged branches.
 
-    Each level counts the children of every node; the number of levels is bounded by ``depth``. Children of a node
+    Each level counts the children of every node, until no node has children of more than one path. Children of a node
     are summed by rate (in steps of 1/RATES) and by power of two of their labels, so that what is decided at once for a node
     is bounded whatever the number of its children.
     """
@@ -153,13 +150,14 @@ def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], k) for i, k in enumerate(kinds)], [*key, "name"])
 
     tree = paths.withColumn("prefix", F.lit(""))
-    levels = paths.agg(F.max(F.size("parts"))).first()[0] or 0
-    for level in range(levels):
+    closed = tree.where(F.size("parts") == 0)
+    tree, level = tree.where(F.size("parts") > 0), 0
+    while not tree.isEmpty():
         part = F.get("parts", F.lit(level))
         children = (
-            tree.where(part.isNotNull() & ~part.isin("*", "**"))
+            tree.where(part != "*")
             .groupBy("host", "prefix", part.alias("part"))
-            .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+            .agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")), F.count(F.lit(1)).alias("paths"))
         )
         some = F.col("labelled") > 0
         steps = F.when(some, F.floor(F.col("bad") / F.col("labelled") * RATES)).otherwise(F.lit(-1)).cast("long")
@@ -171,13 +169,22 @@ def path_templates(paths: DataFrame, limits: TemplateLimits) -> DataFrame:
         entry = F.struct("small", "steps", "power", "count", "labelled", "bad", "first")
         nodes = sums.groupBy("host", "prefix").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
         decided = map_arrow(nodes, decide, "host string, prefix string, small boolean, steps bigint, power bigint, name string")
+        # A path alone below a name of its own meets no others: the rest of it is its template.
+        alone = F.col("name").isNull() & (F.col("paths") == 1)
         names = binned.join(decided, key).select(
-            F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_part"), F.coalesce("name", "part").alias("_name")
-        )
+            F.col("host").alias("_h"), F.col("prefix").alias("_p"), F.col("part").alias("_part"),
+            F.coalesce("name", "part").alias("_name"), alone.alias("_alone"),
+        )
         joined = tree.join(names, (tree["host"] == F.col("_h")) & (tree["prefix"] == F.col("_p")) & (part == F.col("_part")), "left")
-        name = F.when(part.isin("*", "**"), F.lit("*")).otherwise(F.col("_name"))
-        longer = F.when(part.isNull(), F.col("prefix")).otherwise(F.concat_ws("/", "prefix", name))
-        tree = stored(joined.withColumn("prefix", longer).drop("_h", "_p", "_part", "_name"), "tree")
+        alone = F.coalesce("_alone", F.lit(False))
+        rest = F.concat(F.lit("/"), F.array_join(F.slice("parts", level + 1, F.greatest(F.size("parts"), F.lit(1))), "/"))
+        longer = F.when(alone, F.concat("prefix", rest)).otherwise(F.concat_ws("/", "prefix", F.coalesce("_name", F.lit("*"))))
+        ends = alone | (F.size("parts") == level + 1)
+        moved = joined.withColumns({"prefix": longer, "ends": ends}).select(*tree.columns, "ends")
+        below = stored(moved, "tree", "ends")
+        closed = closed.unionByName(below.where("ends").drop("ends"))
+        tree, level = below.where("NOT ends").drop("ends"), level + 1
+    tree = closed
     return tree.withColumn("template", F.when(F.col("prefix") == "", F.lit("/")).otherwise(F.col("prefix"))).drop("prefix")
 
 
@@ -199,7 +206,7 @@ def filter_urls(
     host, path = url_parts(F.col(url_col))
     found = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     known = labels.where("id IS NOT NULL AND bad IS NOT NULL").groupBy("id").agg(F.max("bad").cast("long").alias("bad"))
-    parts = _parts(F.col("path"), limits.depth)
+    parts = _parts(F.col("path"))
     rows = stored(found.withColumn("parts", parts).join(known, "id", "left"), "urls")
     paths = rows.groupBy("host", "parts").agg(
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
