@@ -2,7 +2,8 @@
 
 A file is a row of zstandard frames, each readable alone, and ends in a seek table: a skippable frame with the sizes
 and a checksum of every frame. A frame holds whole documents: their number, for each its id and number of tokens, and then
-all ids. Readers seek to the frame they want and decompress nothing else. A stored index has a row for each frame.
+all ids. A stored index has a row for each frame, with the range of its ids. ``read_documents`` seeks to the frames whose
+ranges hold requested ids and decompresses nothing else; ``read_token_files`` reads all.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemeter.llm.pieces import encode_words
-from tidemeter.llm.shared import prepared, stored
+from tidemeter.llm.shared import by_ids, prepared, stored
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -31,8 +32,11 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 1 << 20
 LEVEL = 1
 INDEX_SCHEMA = (
-    "part int, file string, frame int, at bigint, packed bigint, size bigint, check bigint, docs bigint, tokens bigint"
+    "part int, file string, frame int, at bigint, packed bigint, size bigint, check bigint, docs bigint, tokens bigint, "
+    "unknown bigint, first_id bigint, last_id bigint"
 )
+# Ranges of ids by which requested ids meet frames.
+CUTS = 256
 ENTRY = np.dtype([("known", "u1"), ("id", "<i8"), ("tokens", "<u4")])
 
 
@@ -87,7 +91,7 @@ def write_token_files(
 
     Null ids come first, equal ids in the order of their texts; null texts are empty. Each attempt of a task writes to a
     name of its own and only the successful attempt's name is in the index, so lost executors leave no broken file
-    in use. A document larger than a frame gets a frame of its own. Empty input gives an empty index.
+    in use. The index has each frame's number of null ids and its first and last other id (null: none). A document larger than a frame gets a frame of its own. Empty input gives an empty index.
     """
     prepared(docs.sparkSession)
     if dict(docs.dtypes)[id_col] not in ("tinyint", "smallint", "int", "bigint"):
@@ -109,7 +113,10 @@ def write_token_files(
             packed, check = packer.compress(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
             out.write(packed)
             table.append((len(packed), len(data), check))
-            rows.append((part, name, len(rows), at, len(packed), len(data), check, len(ids), sum(map(len, tokens))))
+            known = [i for i in ids if i is not None]
+            bounds = (min(known), max(known)) if known else (None, None)
+            counted = len(ids), sum(map(len, tokens)), len(ids) - len(known)
+            rows.append((part, name, len(rows), at, len(packed), len(data), check, *counted, *bounds))
             at += len(packed)
             ids, tokens, held = [], [], 0
 
@@ -135,24 +142,72 @@ def write_token_files(
             if out is not None:
                 out.close()
         names = [f.split()[0] for f in INDEX_SCHEMA.split(", ")]
-        kinds = [pa.int32(), pa.string(), pa.int32()] + [pa.int64()] * 6
+        kinds = [pa.int32(), pa.string(), pa.int32()] + [pa.int64()] * 9
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     return stored(located.mapInArrow(write, INDEX_SCHEMA), "token-index")
 
 
-def read_token_files(index: DataFrame, folder: str) -> DataFrame:
-    """All documents of the files: id, start (ids of all documents before it), n_tokens, ids_crc32, tokens.
-
-    Frames are read in parallel, each at its place in the file, and checked against their checksums.
-    """
+def _started(index: DataFrame) -> DataFrame:
+    """The index and ``start``: the number of token ids before each frame."""
     before = Window.partitionBy("part").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row by file: their number is the number of tasks that wrote.
     files = index.groupBy("part").agg(F.sum("tokens").alias("all"))
     bases = files.select("part", F.coalesce(F.sum("all").over(order), F.lit(0)).alias("base"))
     starts = index.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0))).join(bases, "part")
-    wanted = starts.select("file", "at", "packed", "size", "check", (F.col("base") + F.col("start")).alias("start"))
+    return starts.withColumn("start", F.col("base") + F.col("start")).drop("base")
+
+
+def read_token_files(index: DataFrame, folder: str) -> DataFrame:
+    """All documents of the files: id, start (ids of all documents before it), n_tokens, ids_crc32, tokens.
+
+    Frames are read in parallel, each at its place in the file, and checked against their checksums.
+    """
+    return _read_frames(_started(index), folder)
+
+
+def requested_frames(index: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the index, with ``start``, whose frames can hold ``ids`` (column ``id``; null asks for the null ids).
+
+    Ids and frames meet by ranges between quantiles of the frames' first ids, so that not every id meets every frame.
+    """
+    frames = stored(_started(index), "frames")
+    fractions = F.array(*(F.lit(i / CUTS) for i in range(1, CUTS)))
+    found = frames.agg(F.percentile_approx("first_id", fractions)).first()[0] or []  # CUTS numbers at most
+    cuts = F.array(*(F.lit(c).cast("long") for c in sorted(set(found)))).cast("array<bigint>")
+
+    def cell(value: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= value))
+
+    known = frames.where("first_id IS NOT NULL").select(
+        "part", "frame", "first_id", "last_id", F.explode(F.sequence(cell(F.col("first_id")), cell(F.col("last_id")))).alias("cell")
+    )
+    asked = ids.select(F.col("id").cast("long").alias("asked")).distinct().withColumn("cell", cell(F.col("asked")))
+    held = known.join(asked, (known["cell"] == asked["cell"]) & F.col("asked").between(F.col("first_id"), F.col("last_id")), "left_semi")
+    chosen = held.select("part", "frame")
+    if not ids.where("id IS NULL").isEmpty():
+        chosen = chosen.union(frames.where("unknown > 0").select("part", "frame"))
+    return frames.join(chosen.distinct(), ["part", "frame"], "left_semi")
+
+
+def read_documents(index: DataFrame, folder: str, ids: DataFrame) -> DataFrame:
+    """The documents of ``ids`` (column ``id``, integers), as of ``read_token_files``. Only frames that can hold them are read.
+
+    An id that no document has gives no row, an id asked for twice gives its documents once, a null those without id.
+    """
+    asked = stored(ids.select(F.col("id").cast("long").alias("id")).distinct(), "asked")
+    found = _read_frames(requested_frames(index, asked), folder)
+    wanted = stored(asked.where("id IS NOT NULL"), "wanted")
+    rows = by_ids(found, wanted, "id", "left_semi")
+    if not asked.where("id IS NULL").isEmpty():
+        rows = rows.unionByName(found.where("id IS NULL"))
+    return rows
+
+
+def _read_frames(frames: DataFrame, folder: str) -> DataFrame:
+    """The documents of the given rows of the index."""
+    wanted = frames.select("file", "at", "packed", "size", "check", "start")
     dealt = wanted.repartition(F.col("file"), F.col("at"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
