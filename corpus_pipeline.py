@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemeter.llm.decontamination import decontaminate
@@ -18,24 +18,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules(docs).where("kept").select(*docs.columns)
 
 
+def document_key() -> Column:
+    """Null-safe key of id and text, in the order of ids, null ones last, then of the digests of the texts."""
+    number = F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63)))
+    place = F.coalesce(F.concat(F.lit("00"), F.lpad(F.hex(number), 16, "0")), F.lit("01" + "0" * 16))
+    digest = F.coalesce(F.concat(F.lit("01"), F.md5(F.col("text"))), F.lit("00" * 17))
+    return F.unhex(F.concat(place, digest))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class, once. Documents without an id stay, equal ones once."""
-    classes = stored(jaccard_join(docs, words=5, num=4, den=5).classes, "classes")
-    heads = classes.where("doc_id = component_id").select("doc_id").distinct()
-    others = stored(classes.where("doc_id IS NOT NULL").select("doc_id").distinct().join(heads, "doc_id", "left_anti"), "others")
-    rest = by_ids(docs, others, "doc_id", "left_anti")
-    repeated = classes.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = stored(repeated, "repeated")
-    once = by_ids(rest.where("doc_id IS NOT NULL"), again, "doc_id", "left_anti")
-    twice = by_ids(rest, again, "doc_id", "left_semi").union(rest.where("doc_id IS NULL"))
-    return once.select(*docs.columns).union(twice.select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    """The first document of each class, once: that of the smallest id, null ones last, then of the smallest digest.
+
+    Rows that are equal in id and text are one document; an id that repeats with other texts is several.
+    """
+    keyed = docs.withColumn("_key", document_key())
+    classes = stored(jaccard_join(keyed, words=5, num=4, den=5, id_col="_key").classes, "classes")
+    others = stored(classes.where("_key <> component_id").select("_key").distinct(), "others")
+    heads = by_ids(keyed, others, "_key", "left_anti")
+    again = stored(classes.where("_key = component_id").groupBy("_key").count().where("count > 1").select("_key"), "repeated")
+    once, twice = (by_ids(heads, again, "_key", how) for how in ("left_anti", "left_semi"))
+    return once.select(*docs.columns).union(twice.dropDuplicates(["_key"]).select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any span of a benchmark item."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark")).documents
-    hit = stored(found.where("n_hit > 0 AND doc_id IS NOT NULL").select("doc_id").distinct(), "hit")
-    return by_ids(docs, hit, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without any span of a benchmark item, whether their ids are null, repeat or not."""
+    keyed = docs.withColumn("_key", document_key())
+    found = decontaminate(keyed, read_table(spark, sf_dir, "benchmark"), id_col="_key").documents
+    hit = stored(found.where("n_hit > 0").select("_key").distinct(), "hit")
+    return by_ids(keyed, hit, "_key", "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
