@@ -1,6 +1,6 @@
 """Mixing of sources: token shares are raised to an exponent, and the weights realised as permuted blocks.
 
-An exponent of 1 keeps the shares, 0 makes all sources equal. The exponent is found by bisection, several points at a
+An exponent of 1 keeps the shares, 0 makes all sources equal, one over 1 favours large sources. The exponent is found by bisection, several points at a
 time, each an aggregate over the sources. A source gets ``weight * budget`` tokens: whole passes over its documents, then
 a part of one more. Each pass permutes the documents by a hash of its own: into blocks, and within blocks. A part
 of a pass is the first blocks and the head of one more, so all that a document has to know of its source are the number
@@ -19,6 +19,8 @@ from tidemeter.llm.shared import prepared, stored
 
 POINTS = 32
 ROUNDS = 6
+# The largest exponent tried for an entropy is a power of two: sources whose tokens differ by one differ enough at it.
+DOUBLINGS = 64
 
 
 @dataclass(frozen=True)
@@ -38,18 +40,22 @@ def word_tokens(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
 
 
-def find_exponent(totals: DataFrame, target: MixTarget) -> tuple[float, float, int, int]:
-    """(exponent, sum of powers, all tokens, budget). ``totals``: source, tokens; only positive ones count.
+def find_exponent(totals: DataFrame, target: MixTarget) -> tuple[float, float, int, int, int]:
+    """(exponent, sum of powers, all tokens, budget, unit). ``totals``: source, tokens; only positive ones count.
 
-    With a limit of passes the smallest exponent in [0, 1] that keeps it (1 if none does); with an entropy the
-    exponent whose weights have it, or the nearer end.
+    With a limit of passes the smallest exponent in [0, 1] that keeps it (1 if none does: over 1 the passes of the largest
+    source only rise); with an entropy the exponent from 0 whose weights have it, and a ValueError where none has. Powers are of
+    tokens by ``unit``: all tokens, or for an entropy those of the largest source, so that none vanishes with all others.
     """
-    row = totals.agg(F.sum("tokens").alias("all"), F.min("tokens").alias("least")).first()
+    row = totals.agg(
+        F.sum("tokens").alias("all"), F.min("tokens").alias("least"), F.max("tokens").alias("most"), F.count(F.lit(1)).alias("sources")
+    ).first()
     if row["all"] is None:
-        return 1.0, 1.0, 0, target.budget or 0
+        return 1.0, 1.0, 0, target.budget or 0, 1
     everything, least = row["all"], row["least"] / row["all"]
     budget = target.budget or everything
-    share = F.col("tokens") / F.lit(float(everything))
+    unit = everything if target.entropy is None else row["most"]
+    share = F.col("tokens") / F.lit(float(unit))
 
     def enough(exponent: float, power: float, entropy: float) -> bool:
         """Whether the exponent is large enough."""
@@ -57,20 +63,34 @@ def find_exponent(totals: DataFrame, target: MixTarget) -> tuple[float, float, i
             return entropy <= target.entropy
         return budget / everything * least ** (exponent - 1) / power <= target.max_passes
 
-    low, high = 0.0, 1.0
-    for turn in range(ROUNDS):
-        points = [low + (high - low) * i / POINTS for i in range(0 if turn == 0 else 1, POINTS + 1)]
+    def measured(points: list[float]) -> tuple[list[float], list[bool]]:
+        """Sums of powers at the points, and whether each is enough."""
         sums = [F.sum(F.pow(share, F.lit(a))) for a in points]
         logs = [F.sum(F.pow(share, F.lit(a)) * F.log(share)) for a in points]
         found = totals.agg(*sums, *logs).first()
         powers, weighted = found[: len(points)], found[len(points) :]
-        held = [enough(a, z, math.log(z) - a * s / z) for a, z, s in zip(points, powers, weighted)]
+        return powers, [enough(a, z, math.log(z) - a * s / z) for a, z, s in zip(points, powers, weighted)]
+
+    low, high = 0.0, 1.0
+    if target.entropy is not None:
+        if target.entropy > math.log(row["sources"]) + 1e-9:
+            raise ValueError(f"entropy {target.entropy}: {row['sources']} sources reach {math.log(row['sources'])} at most")
+        # The upper end doubles until its entropy is at most the target, which falls to that of the largest sources alone.
+        doubled = [2.0**i for i in range(DOUBLINGS)]
+        reached = [a for a, ok in zip(doubled, measured(doubled)[1]) if ok]
+        if not reached:
+            raise ValueError(f"entropy {target.entropy}: no exponent reaches it, since the largest sources are equal")
+        high = reached[0]
+        low = high / 2 if high > 1 else 0.0
+    for turn in range(ROUNDS):
+        points = [low + (high - low) * i / POINTS for i in range(0 if turn == 0 else 1, POINTS + 1)]
+        powers, held = measured(points)
         first = next((i for i, ok in enumerate(held) if ok), len(points) - 1)
         high, power = points[first], powers[first]
         if first == 0 and turn == 0:
             break
         low = points[first - 1] if first else low
-    return high, power, everything, budget
+    return high, power, everything, budget, unit
 
 
 def mix_sources(
@@ -90,8 +110,8 @@ def mix_sources(
     light = stored(keyed.select(F.col(source_col).alias("source"), F.col("mix_tokens").alias("tokens"), F.col("_key").alias("key")), "weights")
     totals = light.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("tokens"))
     totals = stored(totals, "totals")
-    exponent, power, everything, budget = find_exponent(totals, target)
-    weight = F.pow(F.col("tokens") / F.lit(float(everything or 1)), F.lit(exponent)) / F.lit(power)
+    exponent, power, _, budget, unit = find_exponent(totals, target)
+    weight = F.pow(F.col("tokens") / F.lit(float(unit)), F.lit(exponent)) / F.lit(power)
     quota = F.floor(weight * budget).cast("long")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("tokens") / target.block_tokens)).cast("long")
     plan = totals.select(
