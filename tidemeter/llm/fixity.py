@@ -6,6 +6,8 @@ of up to ``FAN`` nodes below. Two replicas are compared at their roots, and only
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,11 +111,28 @@ def differing(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def fixity_audit(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Every record of the first replica (as of ``archived``) with ``intact``: whether the second holds it unchanged at its
-    place. An empty replica gives an empty result; against an empty one nothing is intact."""
+@dataclass(frozen=True)
+class ReplicaAudit:
+    """``records``: every record of the first replica (as of ``archived``) with ``intact``: whether the second holds it unchanged
+    at its place. ``surplus``: the records of the second replica at places that the first does not have, with the same
+    columns; none of them is intact. Together they are the full join of the replicas by place."""
+
+    records: DataFrame
+    surplus: DataFrame
+
+
+def audit_replicas(first: DataFrame, second: DataFrame) -> ReplicaAudit:
+    """Against an empty second replica nothing is intact; against an empty first one all of the second is surplus."""
     first, second = stored(first, "replica"), stored(second, "replica")
     found = differing(merkle_tree(first), merkle_tree(second))
     places = found.select("archive", "seq", F.lit(False).alias("same"))
     joined = first.join(places, ["archive", "seq"], "left")
-    return joined.withColumn("intact", F.coalesce("same", F.lit(True))).drop("same")
+    records = joined.withColumn("intact", F.coalesce("same", F.lit(True))).drop("same")
+    alone = found.where("first_digest IS NULL").select("archive", "seq")
+    surplus = second.join(alone, ["archive", "seq"], "left_semi").withColumn("intact", F.lit(False))
+    return ReplicaAudit(records, surplus.select(*records.columns))
+
+
+def fixity_audit(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The records of the first replica, as of ``audit_replicas``, which also has those of the second alone."""
+    return audit_replicas(first, second).records

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemeter.llm.decontamination import decontaminate
-from tidemeter.llm.fixity import archived, fixity_audit
+from tidemeter.llm.fixity import archived, audit_replicas
 from tidemeter.llm.jaccard_join import jaccard_join
 from tidemeter.llm.license_scan import license_scan
 from tidemeter.llm.mixing import mix_sources
@@ -73,7 +73,8 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(prepared(spark), sf_dir, "pages")
     lost = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) == "00"
     copied = F.when(lost, F.concat(F.lit("x"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    audit = fixity_audit(archived(pages), archived(pages.withColumn("html", copied)))
+    replicas = audit_replicas(archived(pages), archived(pages.withColumn("html", copied)))
+    audit = replicas.records.unionByName(replicas.surplus)
     return audit.select(F.col("id").alias("page_id"), "archive", "seq", F.col("at").alias("record_at"), "length", "digest", "intact")
 
 
