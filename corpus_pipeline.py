@@ -54,7 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's shard and slot."""
+    """Every row, with its text, and its shard and slot."""
     return kd_shards(docs)
 
 
@@ -71,7 +71,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in their shards: the last stage is written to a folder for each shard."""
     docs = read_table(prepared(spark), sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{number}")
+        by = ["shard"] if stage is sharding else []
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{number}", *by)
     return docs

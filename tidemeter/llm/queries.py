@@ -79,7 +79,7 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = kd_shards(documents(spark, sf_dir))
+    placed = kd_shards(documents(spark, sf_dir), keep_text=False)
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

@@ -30,13 +30,15 @@ def kd_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     target_bytes: int | None = None,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """Input rows without the text, and size, text_crc32, law, shard, slot, grown_shard (null: the law is ``bytes``).
+    """Input rows (without the text if not ``keep_text``), and size, text_crc32, law, shard, slot, grown_shard (null: the law is ``bytes``).
 
     ``size``: bytes of the text (null: none) plus 1. ``target_bytes`` sets the number of shards from the total. The
     dimensions are integers, by default size, language and source; null counts as 0. Rows that repeat an id or a text
     are all kept, with slots of their own. Slots number each shard's rows in the order of hashed ids. With fewer
-    units than shards some shards are empty. Input columns with the names of the results are replaced.
+    units than shards some shards are empty. Input columns with the names of the results are replaced. Places are found
+    without the texts, which are shuffled once, to their places.
     """
     spark = prepared(docs.sparkSession)
     names = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
@@ -50,6 +52,7 @@ def kd_shards(
             "_size": (F.octet_length(text) + 1).cast("long"),
             "_crc": F.crc32(text),
             "_content": F.xxhash64(text, F.md5(text)),
+            "_blank": F.col(text_col).isNull(),
         }
         | {a: F.coalesce(d.cast("long"), F.lit(0)) for a, d in zip(axes, dimensions)}
     ).drop(text_col, *names)
@@ -90,7 +93,13 @@ def kd_shards(
     buckets = 1 + rows.count() // (SLOT_ROWS * shards)
     hashed = F.xxhash64("_id", "_crc")
     slotted = numbered(placed, "shard", [hashed, F.col("_id"), F.col("_crc"), F.col("_size")], "slot", hashed, buckets)
-    kept = [c for c in docs.columns if c not in (text_col, *names)]
+    if keep_text:
+        # Rows that agree in id and content hold the same text, whichever of them it is taken from.
+        own = F.col(id_col).alias("_i"), F.xxhash64(text, F.md5(text)).alias("_c"), F.col(text_col).isNull().alias("_b")
+        texts = docs.select(*own, F.col(text_col).alias("_text")).dropDuplicates(["_i", "_c", "_b"])
+        same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_content") == F.col("_c")) & (F.col("_blank") == F.col("_b"))
+        slotted = slotted.join(texts, same).withColumn(text_col, F.col("_text"))
+    kept = [c for c in docs.columns if c not in names and (keep_text or c != text_col)]
     return slotted.select(
         *kept,
         F.col("_size").alias("size"),
