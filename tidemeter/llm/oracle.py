@@ -82,9 +82,81 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT (base_failed OR (rate > 0.5 AND (100 * n_symbols > 5 * word_chars OR 100 * n_dup_lines > 20 * lines))) AS kept
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source"""
 
+# CRC-32 of a list of bytes.
+_CRC_TABLE = """tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab)"""
+_CRC = "xor(list_reduce({0}, lambda c, x: xor(tab[(xor(c, x) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+_RUNS = r"'[A-Za-z\x{00C0}-\x{00FF}]+'"
+_BYTES = """flatten(list_transform(string_split({0}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)]
+                                 ELSE [CAST(192 | (ord(c) >> 6) AS BIGINT), CAST(128 | (ord(c) & 63) AS BIGINT)] END))"""
+
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format(_TEXT)}, {_RUNS})) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (SELECT run, n, {_CRC.format(_BYTES.format("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)"))} AS h FROM d, tab),
+v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7),
+x AS (SELECT word, n, word[1:i] AS p, word[i + 2:] AS s FROM (SELECT *, unnest(range(0, length(word))) AS i FROM v)),
+e AS (
+  SELECT a.word, b.word AS other FROM x a JOIN x b ON a.p = b.p AND a.s = b.s AND a.word <> b.word
+  UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.p || x.s
+  UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.p || x.s),
+f AS (
+  SELECT e.word, o.word AS form, o.n AS form_n, o.n >= 10 * w.n AS large, count(*) OVER (PARTITION BY e.word) AS n_near
+  FROM e JOIN v o ON o.word = e.other JOIN v w ON w.word = e.word QUALIFY row_number() OVER (PARTITION BY e.word ORDER BY o.n DESC, o.word) = 1),
+c AS (SELECT word, form AS root FROM f WHERE large UNION SELECT c.word, f.form FROM c JOIN f ON f.word = c.root AND f.large),
+t AS (SELECT c.word, c.root FROM c JOIN v ON v.word = c.root QUALIFY row_number() OVER (PARTITION BY c.word ORDER BY v.n DESC) = 1)
+SELECT v.word, CASE WHEN large THEN form END AS form, coalesce(root, v.word) AS root, v.n, coalesce(n_near, 0) AS n_near,
+       CASE WHEN large THEN form_n END AS form_n
+FROM v LEFT JOIN f USING (word) LEFT JOIN t USING (word)"""
+
+
+def _part(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+_LEAF = "sha256(" + " || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+_LEVELS = """
+  SELECT tree, 0 AS level, pos, n, digest FROM {0}
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM {1} WHERE n > 1 GROUP BY tree, level, n, pos // 16"""
+_FLANKS = """
+  SELECT tree, level, pos, run[1:64 * (pos % 16)] AS before, run[64 * (pos % 16) + 65:] AS after
+  FROM {0} JOIN (SELECT tree, level, pos // 16 AS parent, string_agg(digest, '' ORDER BY pos) AS run FROM {0} WHERE n > 1 GROUP BY ALL) r
+  USING (tree, level) WHERE pos // 16 = parent"""
+
+_OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+l AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, {_LEAF.format(_part("text"))} AS digest,
+         CASE WHEN {_CRC.format(_BYTES.format("CAST(doc_id AS VARCHAR)"))} % 5 = 0 THEN {_LEAF.format(_part(_LOWER.format("text")))} END AS found
+  FROM documents, tab),
+a AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l),
+low AS ({_LEVELS.format("a", "low")}),
+b AS (SELECT 'top' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, tree AS source, digest FROM low WHERE n = 1),
+high AS ({_LEVELS.format("b", "high")}),
+low_flanks AS ({_FLANKS.format("low")}),
+high_flanks AS ({_FLANKS.format("high")}),
+p AS (
+  SELECT doc_id, a.digest, a.pos, a.tree, f.level AS step, before, after FROM a JOIN low_flanks f ON f.tree = a.tree AND f.pos = a.pos >> (4 * f.level)
+  UNION ALL
+  SELECT doc_id, a.digest, a.pos, a.tree, 100 + f.level, before, after FROM a JOIN b ON b.source = a.tree JOIN high_flanks f ON f.pos = b.pos >> (4 * f.level)),
+g AS (
+  SELECT tree, pos, string_agg(before || after, '' ORDER BY step) AS siblings, list({{'b': before, 'a': after}} ORDER BY step) AS path FROM p GROUP BY tree, pos),
+z AS (
+  SELECT doc_id, a.digest AS leaf, b.digest AS subroot, (SELECT digest FROM high WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+         list_reduce(coalesce(path, []), lambda s, x: {{'b': sha256(x.b || s.b || x.a), 'a': ''}}, {{'b': coalesce(found, a.digest), 'a': ''}}).b AS folded_root
+  FROM a JOIN b ON b.source = a.tree LEFT JOIN g ON g.tree = a.tree AND g.pos = a.pos)
+SELECT *, folded_root = root AS verified FROM z"""
+
 ORACLE_SQL = {
     "op1_jaccard_join": _OP1,
     "op3_decontamination": _OP3,
     "op6_warc_fixity": _OP6,
     "op8_quality_rules": _OP8,
+    "op11_spelling_variants": _OP11,
+    "op13_merkle_manifest": _OP13,
 }

@@ -1,4 +1,4 @@
-"""The ten operators as queries over the whole given tables, with SQL where it can express them."""
+"""The thirteen operators as queries over the whole given tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -11,10 +11,13 @@ from tidemeter.llm.decontamination import decontaminate
 from tidemeter.llm.fixity import archived, audit_replicas
 from tidemeter.llm.jaccard_join import jaccard_join
 from tidemeter.llm.license_scan import license_scan
+from tidemeter.llm.manifest import merkle_manifest
 from tidemeter.llm.mixing import mix_sources
 from tidemeter.llm.quality_rules import quality_rules
 from tidemeter.llm.shared import prepared, read_table
 from tidemeter.llm.sharding import kd_shards
+from tidemeter.llm.simhash import simhash_groups
+from tidemeter.llm.spelling import spelling_groups
 from tidemeter.llm.token_counts import token_counts
 from tidemeter.llm.token_files import read_token_files, write_token_files
 from tidemeter.llm.url_filter import filter_urls
@@ -102,6 +105,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(documents(spark, sf_dir)).words
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir), words=3, differ=2).documents
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents is found in lower case later on."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle_manifest(documents(spark, sf_dir), tampered).rows
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,5 +132,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_files,
         op10_license_scan,
+        op11_spelling_variants,
+        op12_simhash_dedup,
+        op13_merkle_manifest,
     )
 }
