@@ -154,10 +154,10 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None, fields: tup
     listed = tops.select(F.lit(0).alias("tree"), F.col("tree").alias("source"), F.col("top").alias("digest"))
     listed = ranked(listed, "tree", [F.col("source").asc_nulls_first()], "pos").withColumnRenamed("pos_of", "of")
     upper = _rounds(_blocks(listed, "source"))
-    root = stored(_tops(upper).select(F.col("top").alias("root")), "root")
+    root = stored(_tops(upper).select("tree", F.col("top").alias("root")), "root")
 
     no_path = "array<struct<before:binary,after:binary>>"
-    ends = root.select(F.lit(0).alias("tree"), F.expr(f"cast(array() as {no_path})").alias("path"))
+    ends = root.select("tree", F.expr(f"cast(array() as {no_path})").alias("path"))
     above = _placed(_down(upper, ends)).select(F.col("entry.source").alias("tree"), "path", F.col("entry.digest").alias("subroot"))
     top = root.first()  # one digest
     above = stored(above.withColumn("root", F.lit(top["root"] if top else None).cast("string")), "sources")
@@ -179,4 +179,4 @@ def merkle_manifest(docs: DataFrame, tampered: Column | None = None, fields: tup
     rows = rows.withColumn("verified", F.col("folded_root") == F.col("root"))
     sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("rows"))
     sources = sizes.join(named, _same_tree(sizes, named)).select(sizes["tree"].alias(source), "subroot", "rows")
-    return MerkleManifest(rows, sources, root)
+    return MerkleManifest(rows, sources, root.select("root"))
