@@ -129,7 +129,7 @@ def test_trends(gold):
     assert times == [5, 5]
     assert serving.trend_metric(gold, "cpu", now()).count() == 4
     pair = serving.trend_pair(gold, ["cpu", "mem"], now(), 60, "d1").collect()
-    assert [(r.cpu, r.mem) for r in pair] == [(10.0, None), (30.0, 50.0)]
+    assert [(r.batch_id, r.cpu, r.mem) for r in pair] == [("b0", 10.0, None), ("b0", 20.0, 50.0), ("b1", 30.0, None)]
 
 
 def test_ledger_and_tops(gold):

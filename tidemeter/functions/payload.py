@@ -111,7 +111,7 @@ def _distinct(names: Column) -> Column:
     return F.size(F.array_distinct(names)) == F.size(names)
 
 
-def _last_per(name: str, at: str, items: Column) -> Column:
+def last_of_names(name: str, at: str, items: Column) -> Column:
     """Of the structs keep the last one of every name, as struct<item, first>.
 
     "Last" is by the column ``at``, and ``first`` is the smallest ``at`` of the name. The array is
@@ -157,7 +157,7 @@ def unique_keys(members: Column) -> Column:
             entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"))
         )
         placed = F.transform(
-            _last_per("key", "pos", numbered),
+            last_of_names("key", "pos", numbered),
             lambda run: F.struct(run["first"].alias("place"), run["item"]["pos"].alias("pos")),
         )
         return F.map_from_entries(_positions(F.sort_array(placed), entries))
@@ -197,11 +197,11 @@ def settle(members: Column, reserved: Column | None = None) -> Column:
 
         # A key keeps the place of its first occurrence and the value of its last.
         per_key = F.transform(
-            _last_per("key", "pos", F.transform(given, described)),
+            last_of_names("key", "pos", F.transform(given, described)),
             lambda run: run["item"].withField("place", run["first"]),
         )
         fields = F.filter(per_key, lambda d: d["kind"] != "none")
-        per_field = F.transform(_last_per("field", "place", fields), lambda run: run["item"])
+        per_field = F.transform(last_of_names("field", "place", fields), lambda run: run["item"])
         if reserved is not None:
             per_field = F.filter(per_field, lambda d: ~F.array_contains(reserved, d["field"]))
         return _positions(per_field, given)

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import round_half_up
 from tidemeter.functions.time import format_datetime, hour_bucket, minutes_before
-from tidemeter.schemas import DEFAULT_TREND_MINUTES, THRESHOLDS
+from tidemeter.operators.newest import newest_rows
+from tidemeter.schemas import DEFAULT_TREND_MINUTES, READING_GOLD, THRESHOLDS
+from tidemeter.sinks.tables import TableStore
 
 
 def _for_device(gold: DataFrame, device_name: str | None) -> DataFrame:
@@ -69,18 +71,19 @@ def trend_pair(
     minutes: int = DEFAULT_TREND_MINUTES,
     device_name: str | None = None,
 ) -> DataFrame:
-    """Two or more metrics side by side on one time axis, from one scan."""
+    """Two or more metrics side by side on one time axis, from one scan, with every gold row of each.
+
+    A window of one metric may have several rows, one for each profile and batch. The row of a metric stands beside the row that the
+    others have for the same profile and batch, and beside nothing where they have none.
+    """
     rows = _for_device(_recent(gold, as_of, minutes), device_name)
     rows = rows.filter(F.col("resource_name").isin(*resources))
     lanes = [
         F.max(F.when(F.col("resource_name") == name, F.col("avg_value"))).alias(name)
         for name in resources
     ]
-    return (
-        rows.groupBy(F.col("window_start").alias("time"), "device_name")
-        .agg(*lanes)
-        .orderBy("time", "device_name")
-    )
+    keys = ("device_name", "profile_name", "batch_id")
+    return rows.groupBy(F.col("window_start").alias("time"), *keys).agg(*lanes).orderBy("time", *keys)
 
 
 def gold_ledger(
@@ -123,6 +126,30 @@ def device_latest50(gold: DataFrame, device_name: str) -> DataFrame:
     return newest_gold(_for_device(gold, device_name), 50)
 
 
+# -- the same, of a stored gold table, reading its newest days only --
+
+
+def _named(**names: str | None) -> Column:
+    condition = F.lit(True)
+    for column, value in names.items():
+        if value is not None:
+            condition = condition & (F.col(column) == value)
+    return condition
+
+
+def stored_latest_metric(store: TableStore, resource_name: str, device_name: str) -> DataFrame:
+    """As ``latest_metric``."""
+    order = [F.col(c).desc() for c in ("batch_id", "profile_name")]
+    named = _named(resource_name=resource_name, device_name=device_name)
+    return newest_rows(store, READING_GOLD, 1, order, named).select("avg_value")
+
+
+def stored_newest_gold(store: TableStore, n: int, device_name: str | None = None) -> DataFrame:
+    """As ``newest_gold``, of one device or all."""
+    order = [F.col(c) for c in ("device_name", "profile_name", "resource_name", "batch_id")]
+    return newest_rows(store, READING_GOLD, n, order, _named(device_name=device_name)).drop("event_date")
+
+
 def threshold_state(
     readings: DataFrame, limits: Mapping[str, tuple[float, float]] = THRESHOLDS
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemeter.functions.keyvalue import decode_kv_lines
 from tidemeter.functions.payload import TEXT_MAP
 from tidemeter.schemas import NUMERIC_VALUE_TYPES, RESOURCE_NUMBER_PATHS
 
@@ -71,3 +72,22 @@ def not_a_number_count(silver: DataFrame) -> DataFrame:
         F.count_if(F.isnan("metric_value_num")).alias("nan_values"),
         F.count(F.lit(1)).alias("rows"),
     )
+
+
+def silver_kv_lines(bronze: DataFrame, processed_at: Column) -> DataFrame:
+    """Payload of recorded ``key:value`` lines -> one row per line and key; the time is the event's origin."""
+    text = F.try_element_at(F.from_json("raw_value", TEXT_MAP), F.col("source_name"))
+    named = bronze.select("event_id", "device_name", "profile_name", "source_name", "event_origin", "batch_id", text.alias("_text"))
+    return decode_kv_lines(named, F.col("_text")).select(
+        "event_id",
+        "device_name",
+        "profile_name",
+        "source_name",
+        F.col("event_origin").alias("event_time"),
+        "line_number",
+        F.col("key").alias("metric_key"),
+        F.col("value").alias("metric_value"),
+        F.col("value_num").alias("metric_value_num"),
+        "batch_id",
+        processed_at.alias("processed_at"),
+    )

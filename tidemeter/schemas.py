@@ -200,6 +200,14 @@ READING_GOLD = TableSpec(
     "window_start",
 )
 
+# Mergeable aggregates of one window and batch.
+READING_PARTIAL = TableSpec(
+    "reading_partial",
+    "window_start TIMESTAMP, device_name STRING, profile_name STRING, resource_name STRING, sample_count BIGINT, "
+    "value_sum DOUBLE, min_value DOUBLE, max_value DOUBLE, batch_id STRING",
+    "window_start",
+)
+
 # One row per event.
 EVENT_BRONZE = TableSpec(
     "event_bronze",

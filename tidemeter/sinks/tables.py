@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from tidemeter.schemas import TableSpec
 
+# The folder name of an unknown partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 COMMITS = TableSpec(
@@ -26,6 +29,13 @@ COMMITS = TableSpec(
 )
 
 
+def _literal(value: str | None) -> str:
+    """A partition value in a statement."""
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class TableStore:
     """The tables of one namespace."""
 
@@ -110,11 +120,36 @@ class TableStore:
         return rows
 
     def overwrite_batches(self, df: DataFrame, spec: TableSpec, batches: list[str]) -> int:
-        """Write whole batches; the same batches written before are replaced."""
-        rows = self._insert(df, spec, overwrite=True)
+        """Write whole batches; the same batches written before are replaced, also on days that get no rows now.
+
+        New rows come first, then what the batches had on other days is dropped, then the commit is logged. Rows are
+        arranged by partition before the write, so that there is about a file for each partition, not for each task and
+        partition; a large partition is split.
+        """
+        earlier = self._partitions_of(spec, batches)
+        arranged = df.withColumn("event_date", F.to_date(spec.time_column)) if "event_date" in spec.partition_by else df
+        rows, written = self._insert_watched(arranged.hint("rebalance", *spec.partition_by), spec, earlier)
+        self.drop_partitions(spec, [p for p in earlier if (p.get("event_date"), p["batch_id"]) not in written])
         self.log(spec.name, "overwrite", batches, rows)
         return rows
 
+    def _partitions_of(self, spec: TableSpec, batches: list[str]) -> list[dict[str, str | None]]:
+        """Partitions that hold rows of these batches now."""
+        if not batches or "batch_id" not in spec.partition_by:
+            return []
+        found = self.partitions(spec, batch_id=batches[0]) if len(batches) == 1 else self.partitions(spec)
+        return [row.asDict() for row in found.where(F.col("batch_id").isin(batches)).collect()]
+
+    def _insert_watched(self, df: DataFrame, spec: TableSpec, earlier: list) -> tuple[int, set]:
+        """Insert and count; if there were earlier partitions, also tell which are written now."""
+        if not earlier:
+            return self._insert(df, spec, overwrite=True), set()
+        seen = Observation()
+        day = F.col("event_date").cast("string") if "event_date" in spec.partition_by else F.lit(None).cast("string")
+        place = F.struct(day.alias("day"), F.col("batch_id").alias("batch"))
+        rows = self._insert(df.observe(seen, F.collect_set(place).alias("places")), spec, overwrite=True)
+        return rows, {(p["day"], p["batch"]) for p in seen.get["places"]}
+
     def replace(self, df: DataFrame, name: str) -> DataFrame:
         """Create or replace a table from a DataFrame and read it back."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`")
@@ -150,32 +185,40 @@ class TableStore:
         survivors = self.spark.read.schema(COMMITS.schema).parquet(copy)
         survivors.write.insertInto(self.full_name(COMMITS.name), overwrite=True)
 
+    def partitions(self, spec: TableSpec, **known: str) -> DataFrame:
+        """The partitions of a table, one column each, from the catalog; no data is read. Null is the unknown value."""
+        fixed = ", ".join(f"{name} = {_literal(value)}" for name, value in known.items())
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.full_name(spec.name)}" + (f" PARTITION ({fixed})" if fixed else ""))
+        levels = F.split("partition", "/")
+        values = [F.url_decode(F.replace(F.regexp_replace(F.get(levels, F.lit(i)), "^[^=]*=", ""), F.lit("+"), F.lit("%2B"))) for i in range(len(spec.partition_by))]
+        return listed.select(*(F.nullif(v, F.lit(NO_VALUE)).alias(name) for v, name in zip(values, spec.partition_by)))
+
+    def drop_partitions(self, spec: TableSpec, partitions: list[dict[str, str | None]]) -> None:
+        """Take partitions out of the catalog with one statement, then remove their folders. No job runs."""
+        if not partitions:
+            return
+
+        listed = ", ".join(
+            "PARTITION (" + ", ".join(f"{name} = {_literal(value)}" for name, value in p.items()) + ")" for p in partitions
+        )
+        context = self.spark.sparkContext
+        gateway = context._jvm.org.apache.hadoop.fs.Path
+        escaped = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        self.spark.sql(f"ALTER TABLE {self.full_name(spec.name)} DROP IF EXISTS {listed}")
+        for partition in partitions:
+            steps = [f"{name}={NO_VALUE if v is None else escaped.escapePathName(v)}" for name, v in partition.items()]
+            folder = gateway("/".join([self.path(spec.name), *steps]))
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
     def expire(self, spec: TableSpec, before: date) -> list[str]:
-        """Empty the day partitions older than the date ``before``; returns the days.
+        """Drop all partitions of days before the date ``before``; returns the days. Rows without a day stay.
 
-        The days come from the catalog, no data is read.
+        The days come from the catalog, no data is read, and all of them go with one statement.
         """
-        partitions = self.spark.sql(f"SHOW PARTITIONS {self.full_name(spec.name)}")
-        day = F.regexp_extract("partition", r"event_date=(\d{4}-\d{2}-\d{2})", 1).alias("day")
-        days = partitions.select(day).distinct().filter(F.col("day") != "")
-        expired = sorted(
-            row.day for row in days.filter(F.col("day") < before.isoformat()).toLocalIterator()
-        )
-        conf = self.spark.conf
-        mode = conf.get(OVERWRITE_MODE)
-        conf.set(OVERWRITE_MODE, "static")
-        try:
-            for day in expired:
-                others = [name for name in spec.partition_by if name != "event_date"]
-                target = ", ".join([f"event_date = DATE '{day}'", *others])
-                self.spark.sql(
-                    f"INSERT OVERWRITE {self.full_name(spec.name)} PARTITION ({target}) "
-                    "SELECT * FROM {nothing}",
-                    nothing=self._no_rows(spec).drop("event_date"),
-                )
-        finally:
-            conf.set(OVERWRITE_MODE, mode)
-        return expired
+        old = self.partitions(spec).where(F.col("event_date") < before.isoformat())
+        expired = [row.asDict() for row in old.collect()]
+        self.drop_partitions(spec, expired)
+        return sorted({row["event_date"] for row in expired})
 
     # -- commit log --
 

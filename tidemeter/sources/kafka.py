@@ -82,9 +82,16 @@ def kafka_bounded(
         raise
 
 
-def records_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """File-backed twin of the streaming reads; ``max_files`` bounds a micro-batch."""
+def records_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """File-backed twin of the streaming reads; ``max_files`` or ``max_bytes`` bounds a micro-batch.
+
+    Bytes are those of the files; a micro-batch takes at least one file, whatever its size.
+    """
     reader = spark.readStream.schema(KAFKA_RECORD).format("parquet")
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

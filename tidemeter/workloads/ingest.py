@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import round_half_up
 from tidemeter.operators import points as point_ops
+from tidemeter.operators.serving import stored_newest_gold
 from tidemeter.plans import datasets, medallion
 from tidemeter.schemas import (
     EVENT_BRONZE,
@@ -48,6 +49,7 @@ from tidemeter.workloads.inputs import (
     reading_records,
     reading_silver,
     staged_records,
+    stored_gold,
     table,
     text_time,
     two_readings,
@@ -73,7 +75,7 @@ def flawed_path(spark: SparkSession, sf_dir: str) -> str:
     return staged_records(spark, sf_dir, "flawed", flawed_records(spark, sf_dir))
 
 
-def drain(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+def drain(spark: SparkSession, path: str, max_files: int | None, max_bytes: int | None = None) -> DataFrame:
     """Read a record stream to its end in micro-batches and return what arrived."""
     root = run_dir(spark, "drain")
 
@@ -82,7 +84,7 @@ def drain(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("epoch").parquet(f"{root}/out")
 
-    stream = records_stream(spark, path, max_files)
+    stream = records_stream(spark, path, max_files, max_bytes)
     jobs.start_batches(stream, keep, f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
@@ -395,7 +397,7 @@ NEWEST_GOLD = "ORDER BY g.window_start DESC, device_name, profile_name, resource
 )
 def export_json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest gold rows as JSON records, written and read back."""
-    newest = exports.latest_gold(comparable(reading_gold(spark, sf_dir)))
+    newest = exports.latest_gold(comparable(stored_newest_gold(stored_gold(spark, sf_dir), 100)))
     path = run_dir(spark, "latest")
     exports.json_records(newest).write.text(path)
     return spark.read.schema(newest.schema).json(path)

@@ -18,8 +18,10 @@ from tidemeter.operators.points import (
     valid_events,
 )
 from tidemeter.operators.silver import silver_metric_map, silver_readings
+from tidemeter.schemas import READING_GOLD
 from tidemeter.session import run_dir
 from tidemeter.sinks.kafka import kafka_records, write_records
+from tidemeter.sinks.tables import TableStore
 
 CLOCK_START = 1_704_067_200_000_000  # 2024-01-01 in microseconds
 CLOCK_SPEED = 100
@@ -229,5 +231,20 @@ def staged_records(
     return _staged[key]
 
 
+_stores: dict[tuple[str, str], TableStore] = {}
+
+
+def stored_gold(spark: SparkSession, sf_dir: str) -> TableStore:
+    """A store with the gold of the per-reading flow, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        root = run_dir(spark, "gold")
+        store = TableStore(spark, root, "g" + root[-12:])
+        store.ensure([READING_GOLD])
+        store.append(reading_gold(spark, sf_dir), READING_GOLD)
+        _stores[key] = store
+    return _stores[key]
+
+
 def text_time(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import round_half_up
 from tidemeter.operators import serving
-from tidemeter.workloads.inputs import as_of, GOLD, reading_gold, text_time
+from tidemeter.workloads.inputs import as_of, GOLD, reading_gold, stored_gold, text_time
 from tidemeter.workloads.layers import GOLD_COLUMNS, comparable
 from tidemeter.workloads.registry import query
 
@@ -23,7 +23,7 @@ WINDOW_TEXT = "strftime(window_start, '%Y-%m-%d %H:%M:%S')"
     ORDER BY window_start DESC, batch_id DESC, profile_name DESC LIMIT 1"""
 )
 def latest_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = serving.latest_metric(reading_gold(spark, sf_dir), "click", DEVICE)
+    newest = serving.stored_latest_metric(stored_gold(spark, sf_dir), "click", DEVICE)
     return newest.select(round_half_up("avg_value", 6).alias("avg_value"))
 
 
@@ -60,18 +60,18 @@ def trend_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     GOLD
-    + f"""SELECT {WINDOW_TEXT} AS time, device_name,
-       round(max(avg_value) FILTER (resource_name = 'click'), 6) AS click,
-       round(max(avg_value) FILTER (resource_name = 'view'), 6) AS view
-    FROM gold WHERE resource_name IN ('click', 'view')
-      AND window_start >= {AS_OF_SQL} - INTERVAL 240 minute
-    GROUP BY window_start, device_name"""
+    + f""", recent AS (SELECT * FROM gold WHERE window_start >= {AS_OF_SQL} - INTERVAL 240 minute),
+    c AS (SELECT * FROM recent WHERE resource_name = 'click'), v AS (SELECT * FROM recent WHERE resource_name = 'view')
+    SELECT {WINDOW_TEXT} AS time, device_name, profile_name, batch_id, round(c.avg_value, 6) AS click, round(v.avg_value, 6) AS view
+    FROM c FULL JOIN v USING (window_start, device_name, profile_name, batch_id)"""
 )
 def trend_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = serving.trend_pair(reading_gold(spark, sf_dir), ["click", "view"], as_of(), 240)
     return pair.select(
         text_time("time"),
         "device_name",
+        "profile_name",
+        "batch_id",
         round_half_up("click", 6).alias("click"),
         round_half_up("view", 6).alias("view"),
     )
@@ -94,7 +94,7 @@ NEWEST = "ORDER BY window_start DESC, device_name, profile_name, resource_name,
 
 @query(GOLD + f"SELECT device_name, profile_name, resource_name, {GOLD_COLUMNS} FROM gold g {NEWEST} LIMIT 10")
 def gold_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(serving.gold_top10(reading_gold(spark, sf_dir)))
+    return comparable(serving.stored_newest_gold(stored_gold(spark, sf_dir), 10))
 
 
 @query(
@@ -103,7 +103,7 @@ def gold_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE device_name = '{DEVICE}' {NEWEST} LIMIT 50"""
 )
 def device_latest50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(serving.device_latest50(reading_gold(spark, sf_dir), DEVICE))
+    return comparable(serving.stored_newest_gold(stored_gold(spark, sf_dir), 50, DEVICE))
 
 
 @query(
