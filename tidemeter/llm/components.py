@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemeter.llm.shared import stored
+from tidemeter.llm.shared import scratch, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,6 +16,11 @@ def components(edges: DataFrame) -> DataFrame:
     average, whatever the shape, so the rounds are logarithmic. No component is gathered anywhere: the smallest
     neighbour is an aggregate, and a hot node is split by the skew join.
     """
+    with scratch(edges.sparkSession) as kept:
+        return kept(_labels(edges), "labels")
+
+
+def _labels(edges: DataFrame) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     edges = stored(_undirected(edges), "edges")
     ends = edges.select(a.alias("node")).union(edges.select(b.alias("node"))).distinct()
@@ -33,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(_undirected(left.join(moves, b == F.col("old")).select("a", F.col("new").alias("b"))), "edges")
         renamed = labels.join(moves, F.col("label") == F.col("old"), "left")
         labels = renamed.select("node", F.coalesce("new", "label").alias("label"))
-    return stored(labels, "labels")
+    return labels
 
 
 def _undirected(edges: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemeter.llm.components import components
-from tidemeter.llm.shared import by_ids, map_arrow, prepared, stored
+from tidemeter.llm.shared import by_ids, discard, map_arrow, prepared, scratch, stored
 from tidemeter.llm.words import SPACED, U64, mix, ragged, runs, word_hashes
 
 
@@ -212,10 +212,15 @@ def jaccard_join(
     wordless texts have an empty set, link to nothing and are classes of their own. ``component_id`` is the
     smallest id of the class (null ids aside). ``segments`` chooses the kind of cells (by default segments for shingles
     of up to three words); the result is the same. Rows that repeat an id are documents of their own and are all
-    returned. Other columns are not touched; an empty input gives empty results.
+    returned. Texts are read whole, whatever their length. Other columns are not touched; an empty input gives empty results.
+    Both results are stored, and all that was stored on the way is removed.
     """
-    spark = prepared(docs.sparkSession)
-    limit, by_segment = Threshold(num, den), words <= 3 if segments is None else segments
+    with scratch(prepared(docs.sparkSession)) as kept:
+        found = _joined(docs, words, Threshold(num, den), words <= 3 if segments is None else segments, id_col, text_col)
+        return JaccardJoin(kept(found.classes, "classes"), kept(found.links, "links"))
+
+
+def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_col: str, text_col: str) -> JaccardJoin:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
 
@@ -273,36 +278,52 @@ def jaccard_join(
     skipped = stored(copies.select("id").distinct().join(first, "id", "left_anti"), "copies")
     spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
     cell = Window.partitionBy("cell")
-    shared = stored(
-        spread_rows.withColumn("first", F.min(F.struct("node", "place")).over(cell))
-        .withColumn("last", F.max("node").over(cell))
+    met = (
+        spread_rows.withColumns(
+            {"first": F.min(F.struct("node", "place")).over(cell), "last": F.max("node").over(cell), "members": F.count(F.lit(1)).over(cell)}
+            | {f"sum_{i}": F.sum(part).over(cell) for i, part in enumerate(_parts("node"))}
+        )
         .where(F.col("first.node") != F.col("last"))
-        .select("cell", "node", "place", F.col("first.node").alias("pivot"), F.col("first.place").alias("p_place")),
-        "cells",
+        .select(
+            # Cells of the same members ask the same question. They become one cell, named by the set of its members.
+            F.xxhash64("members", *(f"sum_{i}" for i in range(4))).alias("cell"),
+            F.xxhash64(*(f"sum_{i}" for i in range(4)), "members", F.lit(1)).alias("check"),
+            "node",
+            "place",
+            F.col("first.node").alias("pivot"),
+            F.col("first.place").alias("p_place"),
+        )
     )
+    # A pair passes in one of them, the cell of its first shared member, and so with the smallest places of both.
+    once = met.groupBy("cell", "check", "node").agg(*(F.min(c).alias(c) for c in ("place", "pivot", "p_place")))
+    shared = stored(once.withColumn("cell", F.xxhash64("cell", "check")).drop("check"), "cells")
     open_rows = shared.where(F.col("node") != F.col("pivot"))
     may = limit.may_link("place", "p_place")
     pairs = stored(open_rows.where(may).select("node", F.col("pivot").alias("other")).distinct(), "pairs")
     nodes = stored(shared.select("node").distinct().join(first, "node"), "nodes")
 
     def compared(found: DataFrame) -> DataFrame:
-        """Exact distances of pairs; only their sets are built."""
+        """Exact distances of pairs; only their sets are built, and they are removed again."""
+        with scratch(docs.sparkSession) as kept:
+            return kept(distances(found), "distances")
+
+    def distances(found: DataFrame) -> DataFrame:
         ends = found.select("node").union(found.select("other")).distinct().join(nodes, "node")
         ids = stored(ends.where("id IS NOT NULL").select("id").distinct(), "ids")
         known = by_ids(texts, ids, "id", "left_semi").union(texts.where("id IS NULL"))
         sets = stored(map_arrow(known, build, "node bigint, members array<bigint>"), "members")
         if not sets.groupBy("node").count().where("count > 1").isEmpty():  # ids that repeat, or null ids
             sets = sets.dropDuplicates(["node"])
-        return stored(_distances(found, sets, limit), "distances")
+        return _distances(found, sets, limit)
 
     seen = compared(pairs)
     links = seen.where("linked")
     labels = _merged(nodes.select("node", *PARITY, F.col("node").alias("label")), links)
-    radius = 1 - num / den + EPSILON
+    radius = 1 - limit.num / limit.den + EPSILON
     # A member that cannot link to its pivot may have no distance, and then has no window.
     far = seen.select("node", F.col("other").alias("pivot"), "far")
     active = open_rows.join(far, ["node", "pivot"], "left").select("cell", "node", "place", "far")
-    turn = 0
+    turn, before = 0, None
     while True:
         turn += 1
         labelled = active.join(labels, "node")
@@ -313,8 +334,11 @@ def jaccard_join(
             .withColumn("rank", F.row_number().over(cell.orderBy(F.asc_nulls_last("far"), "node")))
         )
         rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank", *PARITY), "open")
+        if before is not None:
+            discard(before)
         if rows.isEmpty():
             break
+        before = rows
         pivots = rows.where(F.col("rank") <= 16**turn).select(
             "cell", *(F.col(c).alias(f"p_{c}") for c in ("node", "place", "far", "label", "rank", *PARITY))
         )
@@ -350,6 +374,12 @@ def jaccard_join(
     return JaccardJoin(classes, links)
 
 
+def _parts(node: str) -> list[Column]:
+    """Four hashes of 32 bits; their sums over the members of a cell tell its set."""
+    hashes = F.xxhash64(node), F.xxhash64(node, F.lit(1))
+    return [part for h in hashes for part in (h.bitwiseAND(2**32 - 1), F.call_function("shiftrightunsigned", h, F.lit(32)))]
+
+
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links; only ends in different classes matter."""
     left = links.join(labels, "node").select("other", F.col("label").alias("a"))

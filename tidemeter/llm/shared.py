@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,15 +29,55 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Folders written inside of the open ``scratch`` blocks, the innermost last.
+_scratch: list[list[str]] = []
+
+
 def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write to a new folder of the shared store and read it back.
 
-    This cuts the lineage: whatever executor is lost later, the rows are read from the store.
+    This cuts the lineage: whatever executor is lost later, the rows are read from the store. Inside of a ``scratch`` block the folder is
+    removed at the block's end.
     """
+    return _stored(df, label, partition_by, _scratch[-1:])
+
+
+def _stored(df: DataFrame, label: str, partition_by: tuple[str, ...], owners: list[list[str]]) -> DataFrame:
     spark = df.sparkSession
     path = f"{run_dir(spark, label)}/rows"
+    for owner in owners:
+        owner.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    frame = spark.read.schema(df.schema).parquet(path)
+    frame.stored_at = path
+    return frame
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Remove at the end what is ``stored`` inside. Gives a function that stores as well, but for the block around.
+
+    What leaves the block must be stored by that function, as nothing else can be read afterwards.
+    """
+    own: list[str] = []
+    around = _scratch[-1:]
+    _scratch.append(own)
+    try:
+        yield lambda df, label, *partition_by: _stored(df, label, partition_by, around)
+    finally:
+        _scratch.remove(own)
+        for path in own:
+            _removed(spark, path)
+
+
+def discard(frame: DataFrame) -> None:
+    """Remove a stored frame that nothing reads any more."""
+    _removed(frame.sparkSession, frame.stored_at)
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def by_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
