@@ -147,8 +147,9 @@ def test_decontamination(spark):
     rng = random.Random(3)
     items = [(i, sentence(50 + i, rng.choice([1, 3, 9, 10, 11, 30, 59]))) for i in range(20)]
     items += [(20, items[5][1]), (21, None), (22, ""), (None, "w1"), (23, "..."), (24, sentence(55, 30) + " " + sentence(55, 30))]
-    data = [r for r in awkward() if r[0] is not None]
-    data = [r for i, r in enumerate(data) if r[0] not in {x[0] for x in data[:i]}] + [(None, "no hit here", None, None, None)]
+    data = [*awkward(), (None, "no hit here", None, None, None)]
+    leak, clean = " ".join(words(items[5][1], ALNUM)[:9]) + " w1 " + sentence(61, 20, 5000), sentence(62, 30, 5000)
+    data += [(i, t, "en", "s", 1) for i in (5, None, 7) for t in (leak, clean, leak)]  # of equal length
     for i in range(60):
         text = sentence(3000 + i, 40, 5000)
         found = words(items[rng.randrange(20)][1], ALNUM)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from frames import awkward, documents, rows, sentence
+from pyspark.sql import functions as F
 
 from tidemeter.llm import token_files
 
@@ -40,3 +41,12 @@ def test_only_frames_of_requested_documents_are_read(spark, tmp_path, monkeypatc
         assert rows(found, *names) == sorted((tuple(r[n] for n in names) for r in everything if r["id"] in wanted), key=key)
         for path, whole in kept.items():
             path.write_bytes(whole)
+
+
+def test_frames_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "FRAME_BYTES", 2_000)
+    data = [(i, sentence(i, 30), "en", "s", 1) for i in range(200)]
+    index = token_files.write_token_files(documents(spark, data), str(public_tokenizers.path("word_bpe_49k.json")), str(tmp_path / "files"), 2)
+    found = token_files.read_token_files(index, str(tmp_path / "files"))
+    assert index.count() >= 8 and found.count() == 200
+    assert found.select(F.spark_partition_id()).distinct().count() > 1

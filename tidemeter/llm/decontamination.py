@@ -94,12 +94,13 @@ def decontaminate(
     """Spans of ``span`` or more words that documents share with benchmark items; shorter items count as a whole.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Null and wordless texts have no words and
-    no hits; rows of the benchmark with a null id or no words match nothing. Rows that repeat an id (of documents
-    or items) share their hits: a document's result then counts the hits of its own words only. An empty
-    benchmark gives no hits, empty documents an empty result.
+    no hits; rows of the benchmark with a null id or no words match nothing. A document is an id and a text: rows that
+    repeat an id, or have none, have the hits of their own text only. Items of one id share their name. Long texts are read
+    whole. An empty benchmark gives no hits, empty documents an empty result.
     """
     spark = prepared(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("digest"), text.alias("text"))
     tests = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("item_text")
     ).distinct()
@@ -148,16 +149,16 @@ def decontaminate(
             hashes.append(found)
         counts = np.concatenate(counts)
         lists = _lists(np.concatenate(places), counts), _lists(np.concatenate(hashes).view(np.int64), counts)
-        columns = [batch["id"], pa.array(np.concatenate(n_words).astype(np.int64)), *lists]
-        return pa.RecordBatch.from_arrays(columns, ["id", "n_words", "places", "hashes"])
+        columns = [batch["id"], batch["digest"], pa.array(np.concatenate(n_words).astype(np.int64)), *lists]
+        return pa.RecordBatch.from_arrays(columns, ["id", "digest", "n_words", "places", "hashes"])
 
-    schema = f"id {kind}, n_words bigint, places array<bigint>, hashes array<bigint>"
+    schema = f"id {kind}, digest binary, n_words bigint, places array<bigint>, hashes array<bigint>"
     counted = stored(map_arrow(texts, doc_prints, schema), "counted")
-    doc_marks = counted.where(F.size("hashes") > 0).select("id", F.explode(F.arrays_zip("places", "hashes")).alias("mark"))
-    marks = doc_marks.select("id", F.col("mark.places").alias("place"), F.col("mark.hashes").alias("hash"))
+    doc_marks = counted.where(F.size("hashes") > 0).select("id", "digest", F.explode(F.arrays_zip("places", "hashes")).alias("mark"))
+    marks = doc_marks.select("id", "digest", F.col("mark.places").alias("place"), F.col("mark.hashes").alias("hash"))
     diagonal = (F.col("place") - F.col("at")).alias("diagonal")
-    lines = marks.join(prints, "hash").groupBy("id", "item", diagonal).agg(F.min("least").alias("least"))
-    pairs = lines.groupBy("id", "item").agg(F.collect_set("diagonal").alias("diagonals"), F.min("least").alias("least"))
+    lines = marks.join(prints, "hash").groupBy("id", "digest", "item", diagonal).agg(F.min("least").alias("least"))
+    pairs = lines.groupBy("id", "digest", "item").agg(F.collect_set("diagonal").alias("diagonals"), F.min("least").alias("least"))
     pairs = stored(pairs, "candidates")
 
     suspects = stored(pairs.where("id IS NOT NULL").select("id").distinct(), "suspects")
@@ -175,17 +176,17 @@ def decontaminate(
                     starts.append(start)
                     ends.append(end)
         taken = pa.array(rows, pa.int64())
-        total = pa.array([len(doc_words[i]) for i in rows], pa.int64())
-        columns = [batch["id"].take(taken), batch["item"].take(taken), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), total]
-        return pa.RecordBatch.from_arrays(columns, ["id", "item", "start", "end", "n_words"])
+        own = [batch[name].take(taken) for name in ("id", "digest", "item")]
+        return pa.RecordBatch.from_arrays([*own, pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["id", "digest", "item", "start", "end"])
 
-    filled_in = pairs.join(tests, "item").join(texts_of, pairs["id"].eqNullSafe(texts_of["id"])).select(
-        pairs["id"], "item", "item_text", "text", "diagonals", "least"
+    same = pairs["id"].eqNullSafe(texts_of["id"]) & (pairs["digest"] == texts_of["digest"])
+    filled_in = pairs.join(tests, "item").join(texts_of, same).select(
+        pairs["id"], pairs["digest"], "item", "item_text", "text", "diagonals", "least"
     )
     hits = stored(
-        map_arrow(filled_in, extend, f"id {kind}, item string, start bigint, end bigint, n_words bigint").distinct(), "hits"
+        map_arrow(filled_in, extend, f"id {kind}, digest binary, item string, start bigint, end bigint").distinct(), "hits"
     )
-    spans = hits.groupBy("id", "n_words").agg(
+    spans = hits.groupBy("id", "digest").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"),
         F.array_sort(F.collect_set("item")).alias("items"),
     )
@@ -198,9 +199,9 @@ def decontaminate(
             F.greatest(acc["to"], s["end"]).alias("to"),
         ),
     )
-    found = spans.select(F.col("id").alias("_id"), F.col("n_words").alias("_n"), "spans", "items", added["n"].alias("n_hit"))
-    joined = counted.select("id", "n_words").join(
-        found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("n_words") == F.col("_n")), "left"
+    found = spans.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "spans", "items", added["n"].alias("n_hit"))
+    joined = counted.select("id", "digest", "n_words").join(
+        found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left"
     )
     none = F.array().cast("array<string>"), F.array().cast("array<struct<start:bigint,end:bigint>>")
     result = joined.select(

@@ -31,6 +31,8 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 1 << 20
 LEVEL = 1
+# Packed bytes that a reading task takes.
+READ_BYTES = 64 << 20
 INDEX_SCHEMA = (
     "part int, file string, frame int, at bigint, packed bigint, size bigint, check bigint, docs bigint, tokens bigint, "
     "unknown bigint, first_id bigint, last_id bigint"
@@ -208,7 +210,9 @@ def read_documents(index: DataFrame, folder: str, ids: DataFrame) -> DataFrame:
 def _read_frames(frames: DataFrame, folder: str) -> DataFrame:
     """The documents of the given rows of the index."""
     wanted = frames.select("file", "at", "packed", "size", "check", "start")
-    dealt = wanted.repartition(F.col("file"), F.col("at"))
+    packed = wanted.agg(F.sum("packed")).first()[0] or 0
+    tasks = max(wanted.sparkSession.sparkContext.defaultParallelism, -(-packed // READ_BYTES))
+    dealt = wanted.repartition(tasks, F.col("file"), F.col("at"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
