@@ -9,7 +9,7 @@ from tidemeter.llm.decontamination import decontaminate
 from tidemeter.llm.jaccard_join import jaccard_join
 from tidemeter.llm.mixing import mix_sources
 from tidemeter.llm.quality_rules import quality_rules
-from tidemeter.llm.shared import by_ids, prepared, read_table, stored
+from tidemeter.llm.shared import by_ids, prepared, read_table, scratch, stored
 from tidemeter.llm.sharding import kd_shards
 
 
@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that are equal in id and text are one document; an id that repeats with other texts is several.
     """
     keyed = docs.withColumn("_key", document_key())
-    classes = stored(jaccard_join(keyed, words=5, num=4, den=5, id_col="_key").classes, "classes")
+    classes = jaccard_join(keyed, words=5, num=4, den=5, id_col="_key").classes
     others = stored(classes.where("_key <> component_id").select("_key").distinct(), "others")
     heads = by_ids(keyed, others, "_key", "left_anti")
     again = stored(classes.where("_key = component_id").groupBy("_key").count().where("count > 1").select("_key"), "repeated")
@@ -43,8 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any span of a benchmark item, whether their ids are null, repeat or not."""
     keyed = docs.withColumn("_key", document_key())
-    found = decontaminate(keyed, read_table(spark, sf_dir, "benchmark"), id_col="_key").documents
-    hit = stored(found.where("n_hit > 0").select("_key").distinct(), "hit")
+    with scratch(spark) as kept:
+        found = decontaminate(keyed, read_table(spark, sf_dir, "benchmark"), id_col="_key").documents
+        hit = kept(found.where("n_hit > 0").select("_key").distinct(), "hit")
     return by_ids(keyed, hit, "_key", "left_anti").select(*docs.columns)
 
 
