@@ -183,6 +183,15 @@ def test_documents_are_stamped(spark):
     assert doc == {"id": "y", "_ingested_at": "2024-05-01T12:00:00.000000Z"}
 
 
+def test_documents_of_events_with_numbers_json_cannot_write(spark):
+    texts = ['{"a": NaN, "b": [Infinity, {"x": -Infinity}]}', '{"a": 1}}', '{"a": 1.5}']
+    found = [json.loads(r.document) for r in points.documents(records(spark, texts), at()).collect()]
+    assert [{k: v for k, v in d.items() if k != "_ingested_at"} for d in found] == [
+        {"a": "NaN", "b": ["Infinity", {"x": "-Infinity"}]},
+        {"a": 1.5},
+    ]
+
+
 def test_normalize(spark):
     values = ['{ "b" : 1, "a": [1, 2] }', "{cut", "7 8", b"\xff", '{"a":1}] lost', "[1]] x", "1,2", ""]
     got = [(r.was_json, bytes(r.value)) for r in points.normalize_json_bytes(records(spark, values)).collect()]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from hashlib import sha256
+
 import datetime
 
 import pytest
@@ -265,6 +267,20 @@ def test_landing(spark, tmp_path):
     assert files.landing_path("/root/", "d", "https://host/x/y.csv") == "/root/raw/d/y.csv"
 
 
+def test_landing_keeps_files_of_equal_names(spark, tmp_path):
+    for folder, text in (("a", "x\n1\n"), ("b", "x\n2\n"), ("b/deep", "x\n3\n")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "same.csv").write_text(text)
+    landed = files.land_raw_files(spark, f"{tmp_path}/in/*/*.csv", str(tmp_path), "sales").collect()
+    root = tmp_path / "raw" / "sales"
+    assert sorted(r.path for r in landed) == [f"{root}/a/same.csv", f"{root}/b/same.csv"]
+    assert [(root / name / "same.csv").read_text() for name in "ab"] == ["x\n1\n", "x\n2\n"]
+    assert {r.sha256 for r in landed} == {sha256(t.encode()).hexdigest() for t in ("x\n1\n", "x\n2\n")}
+    for source in (f"{tmp_path}/in/b/deep/same.csv", f"{tmp_path}/in/b/deep"):
+        one = files.land_raw_files(spark, source, str(tmp_path), "one").collect()
+        assert [(r.path, r.bytes) for r in one] == [(f"{tmp_path}/raw/one/same.csv", 4)]
+
+
 def test_shared_dir_is_required_on_a_cluster(monkeypatch):
     from tidemeter import session
 

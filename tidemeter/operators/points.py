@@ -166,12 +166,15 @@ def annotation_records(events: DataFrame, at: Column, enabled: bool = True) -> D
 
 
 def documents(records: DataFrame, ingested_at: Column) -> DataFrame:
-    """Events as JSON documents with the time they were ingested."""
+    """Events as JSON documents with the time they were ingested.
+
+    An event that is valid for points is a document, too. Numbers that JSON cannot write (``NaN``, ``Infinity`` and
+    ``-Infinity``) are texts of these names in the document.
+    """
     valid = valid_events(records)
     text = F.to_json(F.struct(F.date_format(ingested_at, ISO_TIME).alias("_ingested_at")))
     stamp = F.from_json(text, VARIANT_MAP)
-    whole = F.try_variant_get(json_document(utf8_text(F.col("value"))), "$", "map<string,variant>")
-    own = F.map_filter(whole, lambda key, _: key != "_ingested_at")
+    own = F.map_filter("event", lambda key, _: key != "_ingested_at")
     document = F.to_json(F.map_concat(own, stamp)).alias("document")
     return valid.select("topic", "partition", "offset", document)
 

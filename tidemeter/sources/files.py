@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,27 +59,44 @@ def _copier():
             return fs.FileSystem.from_uri(path)
         return fs.LocalFileSystem(), path
 
-    def copy(source: str, target: str, block_size: int) -> int:
-        """Copy in blocks beside the target, then move: a retried task replaces, never appends."""
+    def copy(source: str, target: str, block_size: int) -> tuple[int, str]:
+        """Copy in blocks beside the target, then move: a retried task replaces, never appends.
+
+        Gives size and digest of what was read.
+        """
+        from hashlib import sha256
         from uuid import uuid4
 
         source_fs, source_path = filesystem(source)
         target_fs, target_path = filesystem(target)
         target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
         part = f"{target_path}.{uuid4().hex}"
-        size = 0
+        size, digest = 0, sha256()
         with source_fs.open_input_stream(source_path) as reader:
             with target_fs.open_output_stream(part) as writer:
                 while block := reader.read(block_size):
                     writer.write(block)
                     size += len(block)
+                    digest.update(block)
         target_fs.move(part, target_path)
-        return size
+        return size, digest.hexdigest()
 
     return copy
 
 
-LANDED = "source string, path string, bytes bigint"
+LANDED = "source string, path string, bytes bigint, sha256 string"
+
+
+def _below(spark: SparkSession, source: str) -> Column:
+    """Name of a listed file below the folders that ``source`` names without a wildcard."""
+    fixed = re.split(r"[*?\[{]", source, maxsplit=1)[0]
+    folder = fixed if fixed == source else fixed[: fixed.rfind("/") + 1]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder or ".")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    start = str(system.makeQualified(path).toString()).rstrip("/") + "/"
+    inside = F.col("path").startswith(start)
+    last = F.element_at(F.split("path", "/"), -1)
+    return F.when(inside, F.substring("path", len(start) + 1, 2**31 - 1)).otherwise(last)
 
 
 def land_raw_files(
@@ -86,8 +104,9 @@ def land_raw_files(
 ) -> DataFrame:
     """Land every file ``source`` matches, unchanged, replacing earlier copies.
 
-    Files are listed without reading them, spread over all cores, and copied block by block by the
-    executors. A provider that is not known lands nothing.
+    Files keep their names below the folders that ``source`` names without a wildcard, so files of equal names in
+    several folders stay apart. They are listed without reading them, spread over all cores, and copied block by block
+    by the executors; the digest is of the bytes read. A provider that is not known lands nothing.
     """
     if provider not in LANDING_PROVIDERS:
         return spark.createDataFrame([], LANDED)
@@ -96,11 +115,10 @@ def land_raw_files(
 
     def copy_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pairs = zip(batch["source"], batch["path"])
-            yield batch.assign(bytes=[copy(old, new, block_size) for old, new in pairs])
+            copied = [copy(old, new, block_size) for old, new in zip(batch["source"], batch["path"])]
+            yield batch.assign(bytes=[size for size, _ in copied], sha256=[digest for _, digest in copied])
 
-    name = F.element_at(F.split("path", "/"), -1)
-    target = F.concat(F.lit(landing_path(root, dataset, "")), name)
+    target = F.concat(F.lit(landing_path(root, dataset, "")), _below(spark, source))
     listing = spark.read.format("binaryFile").load(source)
     files = listing.select(F.col("path").alias("source"), target.alias("path"))
     tasks = spark.sparkContext.defaultParallelism  # a given number is not merged into fewer tasks

@@ -57,6 +57,9 @@ from tidemeter.workloads.inputs import (
 from tidemeter.workloads.layers import GOLD_COLUMNS, comparable
 from tidemeter.workloads.registry import query
 
+# Rows of a file to land; a file is compared as one binary value.
+LANDED_ROWS = 1_000_000
+
 
 def new_store(spark: SparkSession) -> TableStore:
     root = run_dir(spark, "tables")
@@ -187,25 +190,35 @@ def source_csv_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'raw/orders_daily' AS folder, count(*) AS rows, round(sum(o_totalprice), 2) AS total,
-       true AS same_bytes, 0 AS unknown_provider_files FROM orders"""
+    """SELECT 'raw/orders_daily' AS folder, o_orderstatus AS status, count(*) AS rows,
+       round(sum(o_totalprice), 2) AS total, true AS same_bytes, 0 AS unknown_provider_files
+    FROM orders GROUP BY o_orderstatus"""
 )
 def land_raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land CSV files twice: the second run replaces the first."""
+    """Land CSV files of several folders, with equal names, twice: the second run replaces the first."""
     root = run_dir(spark, "landing")
     orders = table(spark, sf_dir, "orders")
-    orders.repartition(4).write.option("header", True).csv(f"{root}/incoming")
+    written = orders.write.partitionBy("o_orderstatus").option("maxRecordsPerFile", LANDED_ROWS)
+    written.option("header", True).csv(f"{root}/incoming")
+    incoming, target = f"{root}/incoming/*/*.csv", f"{root}/raw/orders_daily"
     for _ in range(2):
-        landed = files.land_raw_files(spark, f"{root}/incoming/*.csv", root, "orders_daily").count()
-    unknown = files.land_raw_files(spark, f"{root}/incoming/*.csv", root, "other", "MAIL").count()
-
-    def sizes(folder: str) -> int:
-        listed = spark.read.format("binaryFile").load(f"{folder}/*.csv")
-        return listed.agg(F.sum("length")).first()[0]
-
-    same = landed > 0 and sizes(f"{root}/incoming") == sizes(f"{root}/raw/orders_daily")
-    copied = spark.read.schema(orders.schema).option("header", True).csv(f"{root}/raw/orders_daily")
-    return copied.agg(
+        report = files.land_raw_files(spark, incoming, root, "orders_daily")
+        report.write.mode("overwrite").parquet(f"{root}/report")
+    unknown = files.land_raw_files(spark, incoming, root, "other", "MAIL").count()
+
+    def contents(folder: str) -> DataFrame:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        return listed.select(F.sha2("content", 256).alias("sha256"))
+
+    reported = spark.read.parquet(f"{root}/report").select("sha256")
+    unlike = [
+        one.exceptAll(other).limit(1).count()
+        for here in (f"{root}/incoming", target)
+        for one, other in ((contents(here), reported), (reported, contents(here)))
+    ]
+    same = sum(unlike) == 0
+    copied = spark.read.schema(orders.schema).option("header", True).csv(target)
+    return copied.groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.lit("raw/orders_daily").alias("folder"),
         F.count(F.lit(1)).alias("rows"),
         round_half_up(F.sum("o_totalprice"), 2).alias("total"),
@@ -490,22 +503,29 @@ def sink_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {EV} SELECT device_name, count(*) AS documents, true AS stamped FROM ev GROUP BY device_name"""
+    f"""WITH {EV} SELECT device_name, count(*) AS documents, true AS stamped,
+       count(*) FILTER (WHERE kafka_offset % 3 = 0) AS not_numbers FROM ev GROUP BY device_name"""
 )
 def sink_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event becomes a document, also the third of them that carry a NaN."""
     root = run_dir(spark, "documents")
-    stream = records_stream(spark, readings_path(spark, sf_dir))
+    text = F.col("value").cast("string")
+    load = F.concat(F.lit('{"load":NaN,'), F.substring(text, 2, 2**31 - 1))
+    value = F.when(F.col("offset") % 3 == 0, load).otherwise(text).cast("binary")
+    stream = records_stream(spark, readings_path(spark, sf_dir)).withColumn("value", value)
     jobs.documents_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     written = spark.read.schema("document string").json(f"{root}/out")
     return (
         written.select(
             F.get_json_object("document", "$.deviceName").alias("device_name"),
             F.get_json_object("document", "$._ingested_at").alias("at"),
+            F.get_json_object("document", "$.load").alias("load"),
         )
         .groupBy("device_name")
         .agg(
             F.count(F.lit(1)).alias("documents"),
             (F.count("at") == F.count(F.lit(1))).alias("stamped"),
+            F.count_if(F.col("load") == "NaN").alias("not_numbers"),
         )
     )
 
