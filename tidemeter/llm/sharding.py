@@ -2,8 +2,8 @@
 
 Nodes are split at weighted medians along their widest dimension until each leaf is one shard. Medians are found by
 histograms: each round sums the bytes of 256 ranges of every node and looks into the range that holds the median.
-What is split are units: all copies of a text, so that they stay together, except where the copies weigh more than a small
-share of a shard; those are split by id into units of that size.
+What is split are units: all copies of a text, so that they stay together, except where the copies weigh more than the
+tolerated share of a shard; those are split by id into small units, as no cut near them could leave sizes near equal.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemeter.llm.shared import numbered, prepared, stored
 
-# Units weigh at most this part of a shard, up to single documents.
+# Units of a split group weigh about this part of a shard, down to single documents.
 FINENESS = 256
 RANGES = 256
 # Order of a node's units: 30 bits of the coordinate, then 32 bits of a hash.
@@ -31,13 +31,15 @@ def kd_shards(
     text_col: str = "text",
     target_bytes: int | None = None,
     keep_text: bool = True,
+    tolerance: float = 1 / 8,
 ) -> DataFrame:
     """Input rows (without the text if not ``keep_text``), and size, text_crc32, law, shard, slot, grown_shard (null: the law is ``bytes``).
 
     ``size``: bytes of the text (null: none) plus 1. ``target_bytes`` sets the number of shards from the total. The
     dimensions are integers, by default size, language and source; null counts as 0. Rows that repeat an id or a text
-    are all kept, with slots of their own. Slots number each shard's rows in the order of hashed ids. With fewer
-    units than shards some shards are empty. Input columns with the names of the results are replaced. Places are found
+    are all kept, with slots of their own. Copies of a text share a shard unless they weigh more than ``tolerance`` (an
+    eighth) of a shard together; sizes may differ by about as much. A single text, however long, is never cut. Slots
+    number each shard's rows in the order of hashed ids. With fewer units than shards some shards are empty. Input columns with the names of the results are replaced. Places are found
     without the texts, which are shuffled once, to their places.
     """
     spark = prepared(docs.sparkSession)
@@ -62,8 +64,9 @@ def kd_shards(
         shards = max(1, -(-total // target_bytes))
     grain = max(1, total // (shards * FINENESS))
     groups = rows.groupBy("_content").agg(F.sum("_size").alias("_weight"))
-    # At most shards * FINENESS contents can be heavier than the grain.
-    heavy = groups.where(F.col("_weight") > grain).select("_content", F.ceil(F.col("_weight") / grain).alias("_cuts"))
+    # At most shards / tolerance contents can be heavier than that.
+    heaviest = F.lit(total / shards * tolerance)
+    heavy = groups.where(F.col("_weight") > heaviest).select("_content", F.ceil(F.col("_weight") / grain).alias("_cuts"))
     split = rows.join(F.broadcast(heavy), "_content", "left")
     piece = F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_cuts")), F.lit(0))
     rows = split.withColumn("_unit", F.xxhash64("_content", piece)).drop("_cuts")
