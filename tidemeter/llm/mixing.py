@@ -22,6 +22,9 @@ ROUNDS = 6
 # The largest exponent tried for an entropy is a power of two: sources whose tokens differ by one differ enough at it.
 DOUBLINGS = 64
 
+# Blocks whose sums one task adds up.
+RUN_BLOCKS = 4_096
+
 
 @dataclass(frozen=True)
 class MixTarget:
@@ -93,14 +96,28 @@ def find_exponent(totals: DataFrame, target: MixTarget) -> tuple[float, float, i
     return high, power, everything, budget, unit
 
 
+def _tokens_before(sums: DataFrame) -> DataFrame:
+    """Blocks with ``gone``, the tokens of their source's earlier blocks. No task holds all blocks of a source: they are
+    summed up by runs of ``RUN_BLOCKS`` first, and only the sums of runs are added up source by source."""
+    runs = sums.withColumn("_run", F.expr(f"block div {RUN_BLOCKS}"))
+    totals = runs.groupBy(F.col("_source").alias("_s"), F.col("_run").alias("_r")).agg(F.sum("tokens").alias("_sum"))
+    earlier = Window.unboundedPreceding, -1
+    of_runs = Window.partitionBy("_s").orderBy("_r").rowsBetween(*earlier)
+    shifts = totals.select("_s", "_r", F.coalesce(F.sum("_sum").over(of_runs), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_source", "_run").orderBy("block").rowsBetween(*earlier)
+    within = runs.withColumn("_own", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
+    joined = within.join(shifts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_run") == F.col("_r")))
+    return joined.withColumn("gone", F.col("_shift") + F.col("_own")).select(*sums.columns, "gone")
+
+
 def mix_sources(
     docs: DataFrame, target: MixTarget = MixTarget(), tokens: Column | None = None, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Input rows, repeated or left out, and mix_weight, mix_pass, mix_block, mix_tokens.
 
     A null source is one of its own. Documents without tokens have no share; they are kept once. Rows that are equal in
-    id and text share their hash and so are cut together, by which the budget may be overrun. Input columns
-    with the names of the results are replaced. An empty input gives an empty result.
+    id and text share their hash and so are cut together, by which the budget may be overrun. A very long text is one row of many tokens, in or out as a whole. Input
+    columns with the names of the results are replaced. An empty input gives an empty result.
     """
     prepared(docs.sparkSession)
     plain = docs.drop("mix_weight", "mix_pass", "mix_block", "mix_tokens")
@@ -128,8 +145,7 @@ def mix_sources(
     part = light.where("tokens > 0").join(plan, F.col("source").eqNullSafe(F.col("_source")))
     part = part.select("_source", "_rest", "tokens", block(F.col("key"), F.col("_passes")).alias("block"), order(F.col("key"), F.col("_passes")).alias("at"))
     sums = part.groupBy("_source", "_rest", "block").agg(F.sum("tokens").alias("tokens"))
-    before = Window.partitionBy("_source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    passed = sums.withColumn("gone", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    passed = _tokens_before(sums)
     cut = passed.where((F.col("gone") <= F.col("_rest")) & (F.col("gone") + F.col("tokens") > F.col("_rest")))
     cut = stored(cut.select(F.col("_source").alias("_s"), F.col("block").alias("_cut"), (F.col("_rest") - F.col("gone")).alias("_left")), "cuts")
     # The cut block of each source alone is ordered; its mean size is block_tokens.
