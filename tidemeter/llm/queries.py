@@ -61,9 +61,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through a cache that already holds the counts of those in English, as of an earlier delivery."""
     docs = documents(spark, sf_dir)
     cache = f"{run_dir(spark, 'token-cache')}/counts"
-    return token_counts(docs, _tokenizer("byte_bpe_50k.json"), cache).drop("cached")
+    tokenizer = _tokenizer("byte_bpe_50k.json")
+    token_counts(docs.where("lang = 'en'"), tokenizer, cache)
+    return token_counts(docs, tokenizer, cache)
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +75,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The replica holds the same records, with a line lost at the end of those whose id's digest begins with 00."""
+    """The replica holds the same records, with the first character overwritten in those whose id's digest begins with 00."""
     pages = read_table(prepared(spark), sf_dir, "pages")
     lost = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) == "00"
     copied = F.when(lost, F.concat(F.lit("x"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))

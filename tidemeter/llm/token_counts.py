@@ -41,8 +41,8 @@ def token_counts(
     """Columns: id, n_bytes, n_tokens, over_limit, cached (whether the count was in the cache before).
 
     Contents are normalised only so far as no count changes: null becomes empty. Special strings in a text count as
-    the library treats them; no begin or end token is added. Rows that repeat an id or a text each get a row. With
-    ``cache`` (a folder of the shared store) new counts are appended; a job that dies before leaves the cache as
+    the library treats them; no begin or end token is added. Rows that repeat an id or a text each get a row. Texts of any
+    length are counted whole. With ``cache`` (a folder of the shared store) new counts are appended; a job that dies before leaves the cache as
     it was, and repeated entries of two jobs at once are harmless. An empty input gives an empty result.
     """
     spark = prepared(docs.sparkSession)
