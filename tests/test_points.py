@@ -235,3 +235,22 @@ def test_member_kinds(spark):
     kinds = [r[0] for r in df.select(payload.member_kind(F.col("v"))).collect()]
     assert kinds == ["num", "num", "bool", "str", "none", "none", "none"]
     assert rows(df.select(payload.variant_number(F.col("v"))))[:2] == [(1.0,), (1.5,)]
+
+
+def test_ranges_read_their_days_only(spark, tmp_path):
+    day = 86_400
+    rows = [("m", "a", i * day // 2, 0, i, float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "measurement string, field string, s bigint, kafka_partition int, kafka_offset bigint, value_num double")
+    timed = df.withColumn("ts", F.timestamp_seconds("s")).withColumn("event_date", F.to_date("ts"))
+    timed.write.partitionBy("event_date").parquet(str(tmp_path / "points"))
+    stored = spark.read.parquet(str(tmp_path / "points"))
+    start, stop = (F.timestamp_seconds(F.lit(s)) for s in (day + day // 2, 3 * day))
+    for found, offsets, days in (
+        (series.range_series(stored, "m", "a", start, stop), [3, 4, 5], 3),
+        (series.retained(stored, F.timestamp_seconds(F.lit(5 * day)), day), [8, 9, 10, 11], 2),
+    ):
+        assert sorted(r.kafka_offset for r in found.collect()) == offsets
+        plan = found._jdf.queryExecution().executedPlan()
+        assert "PartitionFilters: [isnotnull(event_date" in plan.toString()
+        leaf = plan.collectLeaves().head()
+        assert leaf.metrics().get("numPartitions").get().value() <= days

@@ -13,11 +13,19 @@ SERIES = ("measurement", "source_name", "device_name", "profile_name", "topic",
 ARRIVAL = ("ts", "kafka_partition", "kafka_offset")
 
 
+def _of_days(points: DataFrame, first: Column, last: Column | None = None) -> DataFrame:
+    """Of points stored by day only the partitions of the days from ``first`` to ``last``."""
+    if "event_date" not in points.columns:
+        return points
+    days = F.col("event_date") >= F.to_date(first)
+    return points.filter(days if last is None else days & (F.col("event_date") <= F.to_date(last)))
+
+
 def range_series(
     points: DataFrame, measurement: str, field: str, start: Column, stop: Column
 ) -> DataFrame:
-    """All points of one field with start <= ts < stop."""
-    return points.filter(
+    """All points of one field with start <= ts < stop; other days of a stored table are not read."""
+    return _of_days(points, start, stop).filter(
         (F.col("ts") >= start)
         & (F.col("ts") < stop)
         & (F.col("measurement") == measurement)
@@ -57,5 +65,6 @@ def probe_lookup(
 
 
 def retained(points: DataFrame, as_of: Column, seconds: int = RETENTION_SECONDS) -> DataFrame:
-    """Points young enough to keep."""
-    return points.filter(F.col("ts") >= as_of - F.make_dt_interval(secs=F.lit(seconds)))
+    """Points young enough to keep; older days of a stored table are not read."""
+    start = as_of - F.make_dt_interval(secs=F.lit(seconds))
+    return _of_days(points, start).filter(F.col("ts") >= start)

@@ -241,6 +241,20 @@ def gold_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(reading_gold(spark, sf_dir))
 
 
+@query(
+    GOLD.replace("batch_id FROM ev),", "batch_id FROM ev WHERE k <= 50),")
+    + f"SELECT device_name, profile_name, resource_name, {GOLD_COLUMNS} FROM gold"
+)
+def gold_5min_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict mode: a payload with a text among its members counts for nothing, here those of more than 50."""
+    rows = reading_silver(spark, sf_dir)
+    number = F.get_json_object("metric_value", "$.k").cast("bigint")
+    mixed = F.concat(F.lit('{"host":"-",'), F.expr("substring(metric_value, 2)"))
+    flawed = F.when((F.col("resource_name") == "props") & (number > 50), mixed).otherwise(F.col("metric_value"))
+    silver_rows = rows.withColumn("metric_value", flawed)
+    return comparable(gold.gold_readings(silver_rows, loaded_at(), "strict"))
+
+
 @query(
     EVENT_SILVER
     + f""", gold AS (
