@@ -73,7 +73,7 @@ def stored_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def in_parts(spark: SparkSession, sf_dir: str) -> str:
     """The tables the queries read, in as many files as there are cores: a table of one row group is one task."""
     folder = run_dir(spark, "bench-input")
-    for name in ("events", "lineitem", "orders", "customer", "nation", "region"):
+    for name in ("events", "lineitem", "orders", "customer", "nation", "region", "part"):
         rows = table(spark, sf_dir, name)
         rows.repartition(int(CPUS)).write.parquet(f"{folder}/{name}.parquet")
     return folder
