@@ -31,7 +31,6 @@ def _labels(edges: DataFrame) -> DataFrame:
         rank = F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), b)
         own = F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), a.alias("b"))
         step = both.groupBy("a").agg(F.min(rank).alias("to")).select(a.alias("old"), F.least("to", own)["b"].alias("new"))
-        step = stored(step, "moves")
         further = step.select(F.col("old").alias("mid"), F.col("new").alias("end"))
         moves = stored(step.join(further, F.col("new") == F.col("mid")).select("old", F.col("end").alias("new")), "moves")
         left = edges.join(moves, a == F.col("old")).select(F.col("new").alias("a"), "b")
