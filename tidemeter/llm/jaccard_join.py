@@ -21,8 +21,10 @@ that shares a cell with it.
 other: they are in one class. A cell whose members are not yet of one class is joined again, with sixteen times as
 many pivots each time: those nearest to the pivot before, which are the most central. The first of them is compared with
 all members and so gives the next windows; another pivot p and a member x of another class are compared only if their
-distances to the last first pivot differ by at most r and their parities allow it. A parity is 256 bits, each the number of
-members that hash to it, modulo 2: two parities differ in no more bits than the sets differ in members. Then the pivots leave the cell.
+distances to the last first pivot differ by at most r. Then the pivots leave the cell.
+No pair's sets are compared unless its parities allow a link. A parity is 256 bits, each the number of members that hash to
+it, modulo 2: two parities differ in no more bits than the sets differ in members. A member whose parity is too far from
+the pivot's has no distance, and so no window in the next turn.
 So a dense group of n near copies costs about n comparisons; members of one cell that stay unlinked are still met pair by pair, but
 only those whose parities are close have their sets compared.
 
@@ -278,8 +280,9 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
     skipped = stored(copies.select("id").distinct().join(first, "id", "left_anti"), "copies")
     spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
     cell = Window.partitionBy("cell")
+    # Dealt out by cell first, so that what the window sums is made behind the shuffle and not sent through it.
     met = (
-        spread_rows.withColumns(
+        spread_rows.repartition("cell").withColumns(
             {"first": F.min(F.struct("node", "place")).over(cell), "last": F.max("node").over(cell), "members": F.count(F.lit(1)).over(cell)}
             | {f"sum_{i}": F.sum(part).over(cell) for i, part in enumerate(_parts("node"))}
         )
@@ -299,8 +302,11 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
     shared = stored(once.withColumn("cell", F.xxhash64("cell", "check")).drop("check"), "cells")
     open_rows = shared.where(F.col("node") != F.col("pivot"))
     may = limit.may_link("place", "p_place")
-    pairs = stored(open_rows.where(may).select("node", F.col("pivot").alias("other")).distinct(), "pairs")
     nodes = stored(shared.select("node").distinct().join(first, "node"), "nodes")
+    to_pivot = open_rows.where(may).groupBy("node", "pivot").agg(F.min("place").alias("place"), F.min("p_place").alias("p_place"))
+    pivot = nodes.select(F.col("node").alias("pivot"), *(F.col(c).alias(f"p_{c}") for c in PARITY))
+    close_pairs = to_pivot.join(nodes.select("node", *PARITY), "node").join(pivot, "pivot").where(limit.near())
+    pairs = stored(close_pairs.select("node", F.col("pivot").alias("other")), "pairs")
 
     def compared(found: DataFrame) -> DataFrame:
         """Exact distances of pairs; only their sets are built, and they are removed again."""
@@ -312,7 +318,7 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
         ids = stored(ends.where("id IS NOT NULL").select("id").distinct(), "ids")
         known = by_ids(texts, ids, "id", "left_semi").union(texts.where("id IS NULL"))
         sets = stored(map_arrow(known, build, "node bigint, members array<bigint>"), "members")
-        if not sets.groupBy("node").count().where("count > 1").isEmpty():  # ids that repeat, or null ids
+        if sets.count() != ids.count():  # ids that repeat, or null ids
             sets = sets.dropDuplicates(["node"])
         return _distances(found, sets, limit)
 
@@ -345,8 +351,8 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
         close = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius, F.lit(True))
         meeting = (
             rows.join(pivots, "cell")
-            .where((F.col("rank") > F.col("p_rank")) & may)
-            .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close & limit.near())
+            .where((F.col("rank") > F.col("p_rank")) & may & limit.near())
+            .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close)
         )
         pairs = stored(meeting.select("node", F.col("p_node").alias("other")).distinct(), "pairs")
         seen = compared(pairs)
