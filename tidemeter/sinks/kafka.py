@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Bytes of a row group of stored records. A row group is read by one task, however large the file is.
+RECORD_GROUP_BYTES = 4 * 1024 * 1024
+
 
 def kafka_values(df: DataFrame, key: Column | None = None) -> DataFrame:
     """Rows as JSON values, ready for the Kafka sink."""
@@ -46,5 +49,5 @@ def write_records(records: DataFrame, path: str, files: int | None = None) -> st
     """File-backed twin of a topic; ``files`` sets how many files a stream can pick up one by one."""
     if files is not None:
         records = records.repartition(files)
-    records.write.mode("append").parquet(path)
+    records.write.mode("append").option("parquet.block.size", RECORD_GROUP_BYTES).parquet(path)
     return path
