@@ -27,6 +27,9 @@ CLOCK_START = 1_704_067_200_000_000  # 2024-01-01 in microseconds
 CLOCK_SPEED = 100
 TOPIC = "machine_metrics"
 
+# Rows of a table that one task turns into messages.
+ROWS_PER_TASK = 50_000
+
 
 def loaded_at() -> Column:
     """Load time of everything made here."""
@@ -77,6 +80,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Deal narrow rows to tasks before messages are made of them, which are many times as large.
+
+    A table may be one row group and so one task. The number of tasks grows with the rows; rows for one task stay.
+    """
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return rows.repartition(tasks, key) if tasks > 1 else rows
+
+
 def batch_of_offset() -> Column:
     """Batches of a thousand offsets, as an incremental read would cut them."""
     number = F.call_function("div", F.col("kafka_offset"), F.lit(1000))
@@ -129,7 +141,7 @@ def two_readings() -> Column:
 
 def reading_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a scalar reading and a JSON reading."""
-    return as_records(events(spark, sf_dir), envelope(two_readings()))
+    return as_records(spread(events(spark, sf_dir), "event_id"), envelope(two_readings()))
 
 
 def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +157,7 @@ def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     outer = F.to_json(F.create_map(F.col("event_type"), inner))
     readings = F.array(reading(F.col("event_type"), "String", outer))
-    return as_records(events(spark, sf_dir), envelope(readings))
+    return as_records(spread(events(spark, sf_dir), "event_id"), envelope(readings))
 
 
 def flawed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +172,7 @@ def flawed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind != "purchase", F.col("origin")),
     )
     cut = F.when(kind == "error", F.substring(text, 1, 40)).otherwise(text)
-    return as_records(events(spark, sf_dir), cut)
+    return as_records(spread(events(spark, sf_dir), "event_id"), cut)
 
 
 def reading_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

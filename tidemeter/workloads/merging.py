@@ -33,6 +33,7 @@ from tidemeter.workloads.inputs import (
     reading,
     reading_gold,
     reading_records,
+    spread,
     reading_silver,
     table,
     text_time,
@@ -175,7 +176,7 @@ def silver_kv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.concat(F.lit("host:"), "device_name", F.lit(", level:"), F.col("value").cast("string"), F.lit(", k:"), F.col("k").cast("string"))
     text = F.concat(first, F.lit("\nhost:"), "device_name", F.lit(", level:-"))
     outer = F.to_json(F.create_map(F.col("event_type"), text))
-    records = as_records(events(spark, sf_dir), envelope(F.array(reading(F.col("event_type"), "String", outer))))
+    records = as_records(spread(events(spark, sf_dir), "event_id"), envelope(F.array(reading(F.col("event_type"), "String", outer))))
     rows = silver.silver_kv_lines(bronze.bronze_events_first_reading(records, batch_of_offset(), loaded_at()), loaded_at())
     return rows.withColumn("event_time", text_time("event_time")).drop("processed_at", "profile_name")
 
