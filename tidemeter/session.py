@@ -16,6 +16,17 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Bytes of stored messages and layers that one task reads: unpacked they are many times as large.
+READ_BYTES = 16 * 1024 * 1024
+READ_SETTING = "spark.sql.files.maxPartitionBytes"
+
+
+def read_in_small_tasks(spark: SparkSession) -> None:
+    """Bound what one task reads, so that larger inputs make more tasks, not larger ones; a smaller bound is kept."""
+    set_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if set_bytes > READ_BYTES:
+        spark.conf.set(READ_SETTING, str(READ_BYTES))
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a session that somebody else built."""

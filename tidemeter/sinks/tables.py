@@ -15,12 +15,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemeter.schemas import TableSpec
+from tidemeter.session import read_in_small_tasks
 
 # The folder name of an unknown partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
+# Shuffled bytes that one task of a write takes. It sorts them in memory, where they are about ten times as large.
+WRITE_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+WRITE_BYTES = 16 * 1024 * 1024
+
 COMMITS = TableSpec(
     "commits",
     "table_name STRING, operation STRING, batches ARRAY<STRING>, rows BIGINT, "
@@ -40,6 +45,7 @@ class TableStore:
     """The tables of one namespace."""
 
     def __init__(self, spark: SparkSession, root: str, namespace: str):
+        read_in_small_tasks(spark)
         self.spark = spark
         self.root = f"{root.rstrip('/')}/{namespace}"
         self.namespace = namespace
@@ -103,32 +109,38 @@ class TableStore:
         seen = Observation()
         counted = self._arranged(df, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
         conf = df.sparkSession.conf  # a micro-batch has a session of its own
-        before = conf.get(OVERWRITE_MODE)
+        before = {name: conf.get(name) for name in (OVERWRITE_MODE, WRITE_SIZE)}
         conf.set(OVERWRITE_MODE, mode)
+        conf.set(WRITE_SIZE, str(WRITE_BYTES))
         try:
             counted.write.insertInto(self.full_name(spec.name), overwrite=overwrite)
         finally:
-            conf.set(OVERWRITE_MODE, before)
+            for name, value in before.items():
+                conf.set(name, value)
         return seen.get["rows"]
 
     def _no_rows(self, spec: TableSpec) -> DataFrame:
         return self.spark.createDataFrame([], spec.schema)
 
+    def _by_partition(self, df: DataFrame, spec: TableSpec) -> DataFrame:
+        """Rows dealt by partition, so that there is about a file for each partition, not for each task and partition;
+        a large partition is split."""
+        if "event_date" in spec.partition_by:
+            df = df.withColumn("event_date", F.to_date(spec.time_column))
+        return df.hint("rebalance", *spec.partition_by)
+
     def append(self, df: DataFrame, spec: TableSpec) -> int:
-        rows = self._insert(df, spec, overwrite=False)
+        rows = self._insert(self._by_partition(df, spec), spec, overwrite=False)
         self.log(spec.name, "append", [], rows)
         return rows
 
     def overwrite_batches(self, df: DataFrame, spec: TableSpec, batches: list[str]) -> int:
         """Write whole batches; the same batches written before are replaced, also on days that get no rows now.
 
-        New rows come first, then what the batches had on other days is dropped, then the commit is logged. Rows are
-        arranged by partition before the write, so that there is about a file for each partition, not for each task and
-        partition; a large partition is split.
+        New rows come first, then what the batches had on other days is dropped, then the commit is logged.
         """
         earlier = self._partitions_of(spec, batches)
-        arranged = df.withColumn("event_date", F.to_date(spec.time_column)) if "event_date" in spec.partition_by else df
-        rows, written = self._insert_watched(arranged.hint("rebalance", *spec.partition_by), spec, earlier)
+        rows, written = self._insert_watched(self._by_partition(df, spec), spec, earlier)
         self.drop_partitions(spec, [p for p in earlier if (p.get("event_date"), p["batch_id"]) not in written])
         self.log(spec.name, "overwrite", batches, rows)
         return rows

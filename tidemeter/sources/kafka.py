@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemeter.functions.columns import split_names
 from tidemeter.schemas import KAFKA_RECORD
+from tidemeter.session import read_in_small_tasks
 
 MAX_OFFSETS_PER_TRIGGER = 50_000
 
@@ -89,6 +90,7 @@ def records_stream(
 
     Bytes are those of the files; a micro-batch takes at least one file, whatever its size.
     """
+    read_in_small_tasks(spark)
     reader = spark.readStream.schema(KAFKA_RECORD).format("parquet")
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
@@ -99,6 +101,7 @@ def records_stream(
 
 def records_bounded(spark: SparkSession, path: str, topics: str | None = None) -> DataFrame:
     """File-backed twin of the bounded read; a missing folder gives no rows."""
+    read_in_small_tasks(spark)
     try:
         records = spark.read.schema(KAFKA_RECORD).parquet(path)
     except AnalysisException as error:
