@@ -246,3 +246,19 @@ def test_micro_batches_bounded_by_bytes(spark, tmp_path):
     query = stream.writeStream.foreachBatch(lambda batch, epoch: seen.append(batch.count())).trigger(availableNow=True)
     query.option("checkpointLocation", str(tmp_path / "cp")).start().awaitTermination()
     assert sum(seen) == 3 and len(seen) > 1
+
+
+def test_keys_of_short_and_long_lines_are_settled_alike(spark):
+    from tidemeter.functions import keyvalue
+
+    texts = ["a:1, b:2, a:3, :x, none, c:, b:4", "", "a:x, y, a:10:20", ", ".join(f"k{i % 50}:{i}" for i in range(120))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, line string")
+    entry = F.transform(
+        F.split("line", keyvalue.ITEM_END),
+        lambda item, at: F.struct(F.substring_index(item, ":", 1).alias("key"), item.alias("value"), at.alias("pos")),
+    )
+    both = frame.select(keyvalue._looked_up(entry).alias("found"), keyvalue._sorted(entry).alias("settled"))
+    assert all(row.found == row.settled and row.found for row in both.collect())
+    whole = frame.select(keyvalue.line_entries(F.col("line")).alias("e"), "id").orderBy("id").collect()
+    assert [(e.key, e.value) for e in whole[0].e] == [("a", "3"), ("b", "4"), ("c", "")]
+    assert [(e.key, e.value) for e in whole[3].e] == [(f"k{i}", str(100 + i if i < 20 else 50 + i)) for i in range(50)]
