@@ -10,7 +10,7 @@ from tidemeter import session
 from tidemeter.schemas import POINTS, READING_GOLD
 from tidemeter.sinks import kafka, tables
 from tidemeter.sources.kafka import records_bounded
-from tidemeter.workloads import inputs
+from tidemeter.workloads import collecting, inputs
 
 
 def point_rows(spark, n: int, parts: int):
@@ -73,3 +73,10 @@ def test_messages_are_made_by_tasks_in_number_of_the_rows(spark, monkeypatch, li
     dealt = inputs.spread(spark.range(0, 1000, 1, 1), "id")
     assert dealt.rdd.getNumPartitions() == tasks
     assert dealt.agg(F.sum("id")).first()[0] == 1000 * 999 // 2
+
+
+def test_collector_batches_are_made_by_tasks_in_number_of_the_items(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 500)
+    made = collecting.batches(spark, "/root/testdata/sf0.001")
+    assert made.rdd.getNumPartitions() == 12
+    assert made.count() == 6000

@@ -80,13 +80,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Deal narrow rows to tasks before messages are made of them, which are many times as large.
 
     A table may be one row group and so one task. The number of tasks grows with the rows; rows for one task stay.
     """
     tasks = -(-rows.count() // ROWS_PER_TASK)
-    return rows.repartition(tasks, key) if tasks > 1 else rows
+    return rows.repartition(tasks, *keys) if tasks > 1 else rows
 
 
 def batch_of_offset() -> Column:
