@@ -64,6 +64,21 @@ def test_entries_and_events(spark):
     assert event["sourceName"] == "cpu_data" and json.loads(event["readings"][0]["value"]) == {"a": 1}
 
 
+def test_metrics_are_read_and_merged_once(spark):
+    made = collector.route_batches(batch_frame(spark, {"metrics": []}), "document", ["doc_id"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("aggregate(") == 1
+    assert "array_contains" not in plan
+
+
+def test_only_objects_are_given_to_the_reader(spark):
+    documents = [' \t\r\n{"metrics":[{"name":"cpu","fields":{"a":1}}]}', '[{"metrics":[]}]', "", "7", "\u00a0{}", None]
+    rows = [(i, d) for i, d in enumerate(documents)]
+    made = source.collector_fields(spark.createDataFrame(rows, "doc_id int, document string"), "doc_id", "document")
+    assert [(r.doc_id, r.pos, list(r.fields)) for r in made.collect()] == [(0, 0, ["a"])]
+    assert "startswith" in made._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_rename_promote(spark):
     df = spark.createDataFrame(
         [

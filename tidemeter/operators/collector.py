@@ -18,7 +18,7 @@ def entries_of(metrics: Column, plugin: str) -> Column:
 
 
 def routed(metrics: Column) -> Column:
-    """Entries of one batch -> array<struct<resource, value JSON>>, computed inside the row.
+    """Entries of one batch -> array<struct<resource, fields>>, computed inside the row.
 
     The last entry of a plugin wins. For the merged plugin later entries add to and replace the
     fields of earlier ones. Plugins without a resource are dropped.
@@ -27,36 +27,39 @@ def routed(metrics: Column) -> Column:
     items = []
     for plugin, resource in single.items():
         last = F.try_element_at(entries_of(metrics, plugin), F.lit(-1))
-        items.append(
-            F.struct(F.lit(resource).alias("resource"), F.to_json(last["fields"]).alias("value"))
-        )
+        items.append(F.struct(F.lit(resource).alias("resource"), last["fields"].alias("fields")))
     items.append(
         F.struct(
             F.lit(PLUGIN_RESOURCES[MERGED_PLUGIN]).alias("resource"),
-            F.to_json(merged_fields(metrics, MERGED_PLUGIN)).alias("value"),
+            merged_fields(metrics, MERGED_PLUGIN).alias("fields"),
         )
     )
-    return F.filter(F.array(*items), lambda item: item["value"].isNotNull())
+    return F.filter(F.array(*items), lambda item: item["fields"].isNotNull())
 
 
 def merged_fields(metrics: Column, plugin: str) -> Column:
-    """Field maps of all entries of a plugin merged, a later key replacing an earlier one."""
+    """Field maps of all entries of a plugin merged, a later key replacing an earlier one.
+
+    Inside of a lambda ``map_contains_key`` leaves its loop by an exception for each key it finds, ``exists`` does not.
+    """
 
     def merge(so_far: Column, entry: Column) -> Column:
         later = entry["fields"]
-        kept = F.map_filter(so_far, lambda key, _: ~F.map_contains_key(later, key))
+        kept = F.map_filter(so_far, lambda key, _: ~F.exists(F.map_keys(later), lambda name: name == key))
         return F.map_concat(kept, later)
 
     nothing = F.create_map().cast(VARIANT_MAP)
     merged = F.aggregate(entries_of(metrics, plugin), nothing, merge)
-    return F.when(F.size(F.map_keys(merged)) > 0, merged)
+    return let(merged, lambda m: F.when(F.size(F.map_keys(m)) > 0, m))
 
 
 def route_batches(batches: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """One row per batch document and resource, with the columns to keep of the document."""
+    """One row per batch document and resource, with the columns to keep of the document: the fields as JSON (``value``) and
+    as a map of variants (``fields``)."""
     routes = F.inline_outer(let(collector_metrics(F.col(text)), routed))
-    rows = batches.select(*keep, routes.alias("resource_name", "value"))
-    return rows.filter(F.col("resource_name").isNotNull())
+    rows = batches.select(*keep, routes.alias("resource_name", "fields"))
+    known = rows.filter(F.col("resource_name").isNotNull())
+    return known.select(*keep, "resource_name", F.to_json("fields").alias("value"), "fields")
 
 
 def routed_events(
