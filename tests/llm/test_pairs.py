@@ -177,3 +177,25 @@ def test_winnowing_guarantee():
             text = np.concatenate(parts)
             marks.append(set(winnow(text, np.array([0, len(text)]), 8, 3)[1].tolist()))
         assert marks[0] & marks[1]
+
+
+def test_cells_of_sizes_too_far_apart_are_not_kept(spark, monkeypatch):
+    """Every word is shared by a long and a short document, which cannot link; two short ones are near copies."""
+    from tidemeter.llm import jaccard_join as module
+
+    rows = [(i, " ".join(f"w{k}" for k in range(100) if k % 2 == i)) for i in range(2)]
+    rows += [(10 + i, " ".join(f"w{k}" for k in range(5 * i, 5 * i + 5))) for i in range(20)]
+    kept = {}
+
+    def counted(df, label, *by, of=module.stored):
+        frame = of(df, label, *by)
+        kept.setdefault(label, frame.count())
+        return frame
+
+    monkeypatch.setattr(module, "stored", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = module.jaccard_join(docs, words=1, segments=False).classes
+    assert all(r.doc_id == r.component_id for r in classes.collect()) and kept["cells"] == 0
+    copies = docs.union(spark.createDataFrame([(50, rows[5][1] + " x")], docs.schema))
+    linked = module.jaccard_join(copies, words=1, segments=False).classes.where("doc_id <> component_id")
+    assert [(r.doc_id, r.component_id) for r in linked.collect()] == [(50, rows[5][0])]

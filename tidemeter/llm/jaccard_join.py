@@ -83,6 +83,11 @@ class Threshold:
         left = F.least(size - F.col(first).bitwiseAND(2**32 - 1), other - F.col(second).bitwiseAND(2**32 - 1))
         return left * (self.num + self.den) >= (size + other) * self.num
 
+    def sizes_near(self, smaller: str, larger: str) -> Column:
+        """Whether sets of the sizes at these places can link, the first one not larger; false where a place is null."""
+        found = F.shiftright(smaller, 32) * self.den >= F.shiftright(larger, 32) * self.num
+        return F.coalesce(found, F.lit(False))
+
     def near(self) -> Column:
         """Whether the parities of a row and a pivot differ in no more bits than linked sets differ in members."""
         differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in PARITY), F.lit(0)).cast("long")
@@ -281,12 +286,22 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
     spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
     cell = Window.partitionBy("cell")
     # Dealt out by cell first, so that what the window sums is made behind the shuffle and not sent through it.
+    dealt = spread_rows.repartition("cell")
+    if not by_segment:  # rings keep the sizes of a segment's cell near each other
+        # In the order of sizes a member that can link neither to the one before nor to the one after can link to none. Shingles shared
+        # by chance grow faster than the documents, and most of their cells end here.
+        ordered = cell.orderBy("place", "node")
+        beside = dealt.withColumns({"before": F.lag("place").over(ordered), "after": F.lead("place").over(ordered)})
+        dealt = beside.where(limit.sizes_near("before", "place") | limit.sizes_near("place", "after")).drop("before", "after")
+    ends = {f: getattr(F, f)(F.struct("node", "place")).over(cell) for f in ("min", "max")}
     met = (
-        spread_rows.repartition("cell").withColumns(
-            {"first": F.min(F.struct("node", "place")).over(cell), "last": F.max("node").over(cell), "members": F.count(F.lit(1)).over(cell)}
+        dealt.withColumns(
+            {"first": ends["min"], "last": ends["max"], "members": F.count(F.lit(1)).over(cell)}
             | {f"sum_{i}": F.sum(part).over(cell) for i, part in enumerate(_parts("node"))}
         )
-        .where(F.col("first.node") != F.col("last"))
+        .where(F.col("first.node") != F.col("last.node"))
+        # Two members are one pair, which is met here or not at all.
+        .where((F.col("members") > 2) | limit.may_link("first.place", "last.place"))
         .select(
             # Cells of the same members ask the same question. They become one cell, named by the set of its members.
             F.xxhash64("members", *(f"sum_{i}" for i in range(4))).alias("cell"),
