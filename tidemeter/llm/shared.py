@@ -14,6 +14,9 @@ from tidemeter.session import configure, run_dir
 # An id is eight bytes, so this many are 8 MB in a broadcast.
 BROADCAST_IDS = 1_000_000
 
+# Narrow rows that one task writes at least, where their number is known.
+NARROW_ROWS = 5_000
+
 # Batches handed to Python: few rows, since one text may be long.
 ARROW_ROWS = 2_000
 
@@ -90,6 +93,18 @@ def by_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids, key, how)
 
 
+def by_pairs(df: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+    """``df`` joined with a stored table of narrow pairs; up to half of ``BROADCAST_IDS`` of them are broadcast, as with ids."""
+    small = pairs.count() <= BROADCAST_IDS // 2
+    return df.join(F.broadcast(pairs) if small else pairs, key)
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Computed by no more tasks than one for each ``NARROW_ROWS`` of so many rows; a task that writes a handful of rows costs as
+    much as one that writes thousands."""
+    return df.coalesce(max(1, -(-rows // NARROW_ROWS)))
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
