@@ -23,8 +23,9 @@ many pivots each time: those nearest to the pivot before, which are the most cen
 all members and so gives the next windows; another pivot p and a member x of another class are compared only if their
 distances to the last first pivot differ by at most r. Then the pivots leave the cell.
 No pair's sets are compared unless its parities allow a link. A parity is 256 bits, each the number of members that hash to
-it, modulo 2: two parities differ in no more bits than the sets differ in members. A member whose parity is too far from
-the pivot's has no distance, and so no window in the next turn.
+it, modulo 2: two parities differ in no more bits than the sets differ in members. Sets of many hundred members may differ by more
+than such a parity shows, so the pairs it lets through are met by one of two to four bits a member before their sets are built. A member whose parity is
+too far from the pivot's has no distance, and so no window in the next turn.
 So a dense group of n near copies costs about n comparisons; members of one cell that stay unlinked are still met pair by pair, but
 only those whose parities are close have their sets compared.
 
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemeter.llm.components import components
-from tidemeter.llm.shared import by_ids, discard, map_arrow, prepared, scratch, stored
+from tidemeter.llm.shared import by_ids, by_pairs, discard, few_tasks, map_arrow, prepared, scratch, stored
 from tidemeter.llm.words import SPACED, U64, mix, ragged, runs, word_hashes
 
 
@@ -60,6 +61,12 @@ SKETCH_PARTS = 16
 # Words of 64 bits of a set's parity.
 PARITY = ("parity_0", "parity_1", "parity_2", "parity_3")
 
+# Most members of a set for each word of its fine parity, which only pairs are met by that the short one lets through.
+FINE_MEMBERS = 32
+
+# A pair carries two sets, so a task takes fewer of them than of narrow rows.
+SET_ROWS = 16
+
 
 @dataclass(frozen=True)
 class Threshold:
@@ -91,9 +98,25 @@ class Threshold:
     def near(self) -> Column:
         """Whether the parities of a row and a pivot differ in no more bits than linked sets differ in members."""
         differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p_{c}"))) for c in PARITY), F.lit(0)).cast("long")
-        total = F.shiftright("place", 32) + F.shiftright("p_place", 32)
+        return self.few_differ(differ, F.shiftright("place", 32) + F.shiftright("p_place", 32))
+
+    def few_differ(self, differ: Column, total: Column) -> Column:
+        """Whether sets that differ in at least so many members can link, from the sum of their sizes."""
         return differ * (self.num + self.den) <= total * (self.den - self.num)
 
+    def finely_near(self) -> Column:
+        """The same as ``near`` by the fine parities of a row and a pivot, the longer one folded to the length of the other.
+        True where one is more than twice as long."""
+        few, many = F.least(F.size("fine"), F.size("p_fine")), F.greatest(F.size("fine"), F.size("p_fine"))
+
+        def fold(words: Column) -> Column:
+            halves = F.slice(words, F.lit(1), few), F.slice(words, few + 1, few)
+            return F.when(F.size(words) > few, F.zip_with(*halves, lambda a, b: a.bitwiseXOR(b))).otherwise(words)
+
+        differ = F.zip_with(fold(F.col("fine")), fold(F.col("p_fine")), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        total = F.aggregate(differ, F.lit(0).cast("long"), lambda x, y: x + y)
+        return F.when(many > 2 * few, True).otherwise(self.few_differ(total, F.col("n") + F.col("p_n")))
+
     def largest(self, size: np.ndarray) -> np.ndarray:
         return size * self.den // self.num
 
@@ -141,6 +164,17 @@ def parities(sizes: np.ndarray, members: np.ndarray) -> list[np.ndarray]:
     return found
 
 
+def fine_parities(sizes: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The fine parity of each set: (numbers of words, all words). The numbers are powers of two, so that a parity is folded to half
+    its length by the xor of its halves."""
+    words = 1 << np.ceil(np.log2(np.maximum(sizes / FINE_MEMBERS, 1))).astype(np.int64)
+    starts = np.cumsum(words) - words
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (mix(members, 15) % (64 * words[owner]).astype(U64)).astype(np.int64)
+    odd = np.bincount(64 * starts[owner] + bit, minlength=64 * words.sum()) & 1
+    return words, np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 Cells = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -234,15 +268,17 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and at the end one with the task's shingle counts."""
         counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
-        names = ["id", "node", "n", *PARITY, "counts"]
+        names = ["id", "node", "n", *PARITY, "fine", "counts"]
         for batch in batches:
-            found = [[np.zeros(0, np.int64)] * (2 + len(PARITY))]
+            found = [[np.zeros(0, np.int64)] * (4 + len(PARITY))]
             for _, sizes, members in shingle_sets(batch["text"], words):
-                found.append([digests(sizes, members), sizes, *parities(sizes, members)])
+                found.append([digests(sizes, members), sizes, *parities(sizes, members), *fine_parities(sizes, members)])
                 counts += np.bincount(bucket(members), minlength=len(counts)).astype(np.uint64)
-            rows = [batch["id"], *(pa.array(np.concatenate(column)) for column in zip(*found))]
+            *columns, lengths, fine = (np.concatenate(column) for column in zip(*found))
+            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            rows = [batch["id"], *map(pa.array, columns), pa.ListArray.from_arrays(pa.array(ends), pa.array(fine))]
             yield pa.RecordBatch.from_arrays([*rows, pa.nulls(len(batch), pa.binary())], names)
-        none = [pa.nulls(1, arrow_kind), *(pa.nulls(1, pa.int64()) for _ in names[1:-1])]
+        none = [pa.nulls(1, arrow_kind), *(pa.nulls(1, pa.int64()) for _ in names[1:-2]), pa.nulls(1, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([*none, pa.array([packed(counts)], pa.binary())], names)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,8 +300,9 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
 
     arrow_kind = to_arrow_type(texts.schema["id"].dataType)
     numbers = ", ".join(f"{name} bigint" for name in ("node", "n", *PARITY))
-    passed = stored(texts.mapInArrow(measure, f"id {kind}, {numbers}, counts binary"), "sets")
+    passed = stored(texts.mapInArrow(measure, f"id {kind}, {numbers}, fine array<bigint>, counts binary"), "sets")
     measured = passed.where("n IS NOT NULL").drop("counts")
+    n_docs = measured.count()
     sketches = passed.where("counts IS NOT NULL").select("counts").repartition(SKETCH_PARTS).mapInArrow(add_up, "counts binary")
     counts = sum((unpacked(row["counts"]) for row in sketches.collect()), np.zeros(1 << SKETCH_BITS, dtype=np.uint64))
 
@@ -280,9 +317,10 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
         return pa.RecordBatch.from_arrays(columns, ["cell", "node", "place"])
 
     some = measured.where("n > 0")
-    first = stored(some.groupBy("node").agg(F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", *PARITY))), "first")
+    firsts = some.groupBy("node").agg(F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", *PARITY)))
+    first = stored(few_tasks(firsts, n_docs), "first")
     copies = some.join(first.select("node", F.col("id").alias("kept")), "node").where(F.col("id") != F.col("kept"))
-    skipped = stored(copies.select("id").distinct().join(first, "id", "left_anti"), "copies")
+    skipped = stored(few_tasks(copies.select("id").distinct().join(first, "id", "left_anti"), n_docs), "copies")
     spread_rows = map_arrow(by_ids(texts, skipped, "id", "left_anti"), spread, "cell bigint, node bigint, place bigint")
     cell = Window.partitionBy("cell")
     # Dealt out by cell first, so that what the window sums is made behind the shuffle and not sent through it.
@@ -317,20 +355,28 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
     shared = stored(once.withColumn("cell", F.xxhash64("cell", "check")).drop("check"), "cells")
     open_rows = shared.where(F.col("node") != F.col("pivot"))
     may = limit.may_link("place", "p_place")
-    nodes = stored(shared.select("node").distinct().join(first, "node"), "nodes")
+    n_open = shared.count()
+    nodes = stored(few_tasks(shared.select("node").distinct().join(first, "node"), n_docs), "nodes")
     to_pivot = open_rows.where(may).groupBy("node", "pivot").agg(F.min("place").alias("place"), F.min("p_place").alias("p_place"))
     pivot = nodes.select(F.col("node").alias("pivot"), *(F.col(c).alias(f"p_{c}") for c in PARITY))
     close_pairs = to_pivot.join(nodes.select("node", *PARITY), "node").join(pivot, "pivot").where(limit.near())
-    pairs = stored(close_pairs.select("node", F.col("pivot").alias("other")), "pairs")
+    pairs = stored(few_tasks(close_pairs.select("node", F.col("pivot").alias("other")), n_open), "pairs")
 
     def compared(found: DataFrame) -> DataFrame:
-        """Exact distances of pairs; only their sets are built, and they are removed again."""
+        """Exact distances of the pairs whose fine parities allow a link; only their sets are built, and they are removed again."""
         with scratch(docs.sparkSession) as kept:
-            return kept(distances(found), "distances")
+            close = stored(few_tasks(finely_near(found), count := found.count()), "close")
+            return kept(few_tasks(distances(close), count * SET_ROWS), "distances")
+
+    def finely_near(found: DataFrame) -> DataFrame:
+        ends = few_tasks(found.select("node").union(found.select("other")).distinct(), 2 * found.count())
+        fine = by_ids(measured.select("node", "n", "fine"), stored(ends, "ends"), "node", "left_semi").dropDuplicates(["node"])
+        other = fine.select(F.col("node").alias("other"), F.col("n").alias("p_n"), F.col("fine").alias("p_fine"))
+        return found.join(fine, "node").join(other, "other").where(limit.finely_near()).select("node", "other")
 
     def distances(found: DataFrame) -> DataFrame:
         ends = found.select("node").union(found.select("other")).distinct().join(nodes, "node")
-        ids = stored(ends.where("id IS NOT NULL").select("id").distinct(), "ids")
+        ids = stored(few_tasks(ends.where("id IS NOT NULL").select("id").distinct(), 2 * found.count()), "ids")
         known = by_ids(texts, ids, "id", "left_semi").union(texts.where("id IS NULL"))
         sets = stored(map_arrow(known, build, "node bigint, members array<bigint>"), "members")
         if sets.count() != ids.count():  # ids that repeat, or null ids
@@ -339,7 +385,8 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
 
     seen = compared(pairs)
     links = seen.where("linked")
-    labels = _merged(nodes.select("node", *PARITY, F.col("node").alias("label")), links)
+    n_nodes = nodes.count()
+    labels = _merged(nodes.select("node", *PARITY, F.col("node").alias("label")), links, n_nodes)
     radius = 1 - limit.num / limit.den + EPSILON
     # A member that cannot link to its pivot may have no distance, and then has no window.
     far = seen.select("node", F.col("other").alias("pivot"), "far")
@@ -354,10 +401,12 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
             .where(F.col("least") != F.col("most"))
             .withColumn("rank", F.row_number().over(cell.orderBy(F.asc_nulls_last("far"), "node")))
         )
-        rows = stored(undecided.select("cell", "node", "place", "far", "label", "rank", *PARITY), "open")
+        undecided = undecided.select("cell", "node", "place", "far", "label", "rank", *PARITY)
+        rows = stored(few_tasks(undecided, n_open), "open")
         if before is not None:
             discard(before)
-        if rows.isEmpty():
+        n_open = rows.count()
+        if not n_open:
             break
         before = rows
         pivots = rows.where(F.col("rank") <= 16**turn).select(
@@ -369,11 +418,11 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
             .where((F.col("rank") > F.col("p_rank")) & may & limit.near())
             .where((F.col("p_rank") == 1) | (F.col("label") != F.col("p_label")) & close)
         )
-        pairs = stored(meeting.select("node", F.col("p_node").alias("other")).distinct(), "pairs")
+        pairs = stored(few_tasks(meeting.select("node", F.col("p_node").alias("other")).distinct(), n_open), "pairs")
         seen = compared(pairs)
         more = seen.where("linked")
         links = links.union(more)
-        labels = _merged(labels, more)
+        labels = _merged(labels, more, n_nodes)
         first_pivot = pivots.where("p_rank = 1").select("cell", F.col("p_node").alias("other"))
         active = (
             rows.where(F.col("rank") > 16**turn)
@@ -392,7 +441,7 @@ def _joined(docs: DataFrame, words: int, limit: Threshold, by_segment: bool, id_
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
     )
-    return JaccardJoin(classes, links)
+    return JaccardJoin(few_tasks(classes, n_docs), few_tasks(links, n_docs))
 
 
 def _parts(node: str) -> list[Column]:
@@ -401,23 +450,28 @@ def _parts(node: str) -> list[Column]:
     return [part for h in hashes for part in (h.bitwiseAND(2**32 - 1), F.call_function("shiftrightunsigned", h, F.lit(32)))]
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame, links: DataFrame, n_nodes: int) -> DataFrame:
     """Labels after further links; only ends in different classes matter."""
     left = links.join(labels, "node").select("other", F.col("label").alias("a"))
     edges = left.join(labels, left["other"] == labels["node"]).select("a", F.col("label").alias("b"))
-    edges = stored(edges.where("a <> b").distinct(), "merges")
+    edges = stored(few_tasks(edges.where("a <> b").distinct(), links.count()), "merges")
     if edges.isEmpty():
         return labels
     moved = components(edges).select(F.col("node").alias("old"), F.col("label").alias("new"))
     renamed = labels.join(moved, F.col("label") == F.col("old"), "left")
-    return stored(renamed.select("node", *PARITY, F.coalesce("new", "label").alias("label")), "classes")
+    return stored(few_tasks(renamed.select("node", *PARITY, F.coalesce("new", "label").alias("label")), n_nodes), "classes")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """Exact sizes of intersection and union of each pair, and whether it links."""
-    other = sets.select(F.col("node").alias("other"), F.col("members").alias("others"))
+    """Exact sizes of intersection and union of each pair, and whether it links.
+
+    The set of each pair's ``node`` goes to its ``other``, whose own set goes there once, however many pairs it is in.
+    """
+    with_node = by_pairs(sets, pairs, "node")
+    heads = by_ids(sets, stored(pairs.select(F.col("other").alias("node")).distinct(), "heads"), "node", "left_semi")
+    other = heads.select(F.col("node").alias("other"), F.col("members").alias("others"))
     both = F.size(F.array_intersect("members", "others")).cast("long")
-    found = pairs.join(other, "other").join(sets, "node").select(
+    found = with_node.join(other, "other").select(
         "node", "other", both.alias("shared"), (F.size("members") + F.size("others") - both).alias("either")
     )
     return found.withColumns(
