@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemeter.operators import collector, profiles, quality, sessions
 from tidemeter.plans import datasets
-from tidemeter.schemas import AGENT_METRICS
+from tidemeter.schemas import AGENT_METRICS, ENVELOPE
 from tidemeter.sources import collector as source
 from tidemeter.sources.generate import SOURCE_KINDS, generate_events
 
@@ -71,6 +71,53 @@ def test_metrics_are_read_and_merged_once(spark):
     assert "array_contains" not in plan
 
 
+def test_repeated_keys_and_odd_entries_are_routed(spark):
+    """A repeated key of a merged entry failed the job."""
+    net = {"name": "net", "fields": {"b": 2, "c": 1}}
+    odd = [
+        {"fields": {"a": 1}},
+        {"name": None, "fields": {"a": 1}},
+        metric("mem", x=1),
+        metric("cpu", y=1),
+        metric("mem", x=2),
+        metric("mem"),
+        None,
+        metric("net", a=1, b=1),
+        net,
+        metric("net", a=3),
+    ]
+    got = routes(
+        spark,
+        '{"metrics":[{"name":"net","fields":{"a":1,"a":2}}]}',
+        '{"metrics":[{"name":"net","fields":{"a":1,"a":2}},{"name":"net","fields":{"b":1,"b":3}}]}',
+        {"metrics": odd},
+        {"metrics": None},
+        {"metrics": [metric("system")]},
+    )
+    assert got == {
+        (0, "net_data"): {"a": 2},
+        (1, "net_data"): {"a": 2, "b": 3},
+        (2, "mem_data"): {"x": 2},
+        (2, "cpu_data"): {"y": 1},
+        (2, "net_data"): {"a": 3, "b": 2, "c": 1},
+    }
+
+
+def test_routes_and_events_are_made_by_generated_code(spark):
+    """No lambdas where rows are made of a batch, and the text of an event is not part of its reader's projection."""
+    batches = batch_frame(spark, {"metrics": [metric("cpu", a=1)]})
+    made = datasets.run_collector_to_events(
+        batches, "doc_id", "document", F.lit("n"), F.lit("p"), F.lit(5).cast("bigint")
+    )
+    read = made.select(F.from_json("event", ENVELOPE).alias("event"))
+    plan = read._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    inline = next(line for line in plan if "Generate inline" in line)
+    assert "lambda" not in inline and "from_json(" not in inline
+    reader = next(line for line in plan if "from_json(StructField(apiVersion" in line)
+    assert "StructsToJson" not in reader
+    assert read.first().event.readings[0].value == '{"a":1}'
+
+
 def test_only_objects_are_given_to_the_reader(spark):
     documents = [' \t\r\n{"metrics":[{"name":"cpu","fields":{"a":1}}]}', '[{"metrics":[]}]', "", "7", "\u00a0{}", None]
     rows = [(i, d) for i, d in enumerate(documents)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemeter.functions.columns import let
-from tidemeter.functions.payload import VARIANT_MAP
+from tidemeter.functions.payload import unique_keys
 from tidemeter.schemas import FIELD_RENAMES, MERGED_PLUGIN, PLUGIN_RESOURCES, PROMOTED_TAGS
 from tidemeter.sources.collector import collector_metrics
 
@@ -17,55 +17,65 @@ def entries_of(metrics: Column, plugin: str) -> Column:
     return F.filter(metrics, lambda m: m["name"] == plugin)
 
 
-def routed(metrics: Column) -> Column:
-    """Entries of one batch -> array<struct<resource, fields>>, computed inside the row.
+def parted(metrics: Column) -> Column:
+    """Entries of one batch -> struct<names, fields, merged>: plugins from the last entry to the first, the field maps of the
+    entries and those of the merged plugin as one map; null without entries."""
+    parts = F.struct(
+        F.reverse(metrics["name"]).alias("names"),
+        metrics["fields"].alias("fields"),
+        merged_fields(metrics, MERGED_PLUGIN).alias("merged"),
+    )
+    return F.when(F.size(metrics) > 0, parts)
+
 
-    The last entry of a plugin wins. For the merged plugin later entries add to and replace the
-    fields of earlier ones. Plugins without a resource are dropped.
+def routed(parts: Column) -> Column:
+    """Parts of one batch -> array<struct<resource, fields>>, an item for each resource, its fields null without an entry.
+
+    The last entry of a plugin wins. For the merged plugin later entries add to and replace the fields of earlier ones.
+    Plugins without a resource are dropped. No lambdas, so that the rows are made by generated code.
     """
-    single = {p: r for p, r in PLUGIN_RESOURCES.items() if p != MERGED_PLUGIN}
     items = []
-    for plugin, resource in single.items():
-        last = F.try_element_at(entries_of(metrics, plugin), F.lit(-1))
-        items.append(F.struct(F.lit(resource).alias("resource"), last["fields"].alias("fields")))
-    items.append(
-        F.struct(
-            F.lit(PLUGIN_RESOURCES[MERGED_PLUGIN]).alias("resource"),
-            merged_fields(metrics, MERGED_PLUGIN).alias("fields"),
-        )
-    )
-    return F.filter(F.array(*items), lambda item: item["fields"].isNotNull())
+    for plugin, resource in PLUGIN_RESOURCES.items():
+        # Counted from the end; past the end, so null, for a plugin that does not occur.
+        place = F.size(parts["fields"]) - F.array_position(parts["names"], plugin).cast("int")
+        fields = parts["merged"] if plugin == MERGED_PLUGIN else F.get(parts["fields"], place)
+        items.append(F.struct(F.lit(resource).alias("resource"), fields.alias("fields")))
+    return F.array(*items)
 
 
 def merged_fields(metrics: Column, plugin: str) -> Column:
-    """Field maps of all entries of a plugin merged, a later key replacing an earlier one.
+    """Field maps of all entries of a plugin merged, a later key replacing an earlier one; null without entries.
 
     Inside of a lambda ``map_contains_key`` leaves its loop by an exception for each key it finds, ``exists`` does not.
     """
 
-    def merge(so_far: Column, entry: Column) -> Column:
-        later = entry["fields"]
+    def merge(so_far: Column, later: Column) -> Column:
         kept = F.map_filter(so_far, lambda key, _: ~F.exists(F.map_keys(later), lambda name: name == key))
         return F.map_concat(kept, later)
 
-    nothing = F.create_map().cast(VARIANT_MAP)
-    merged = F.aggregate(entries_of(metrics, plugin), nothing, merge)
-    return let(merged, lambda m: F.when(F.size(F.map_keys(m)) > 0, m))
+    def merged(maps: Column) -> Column:
+        return F.aggregate(F.slice(maps, F.lit(2), F.size(maps)), F.get(maps, F.lit(0)), merge)
+
+    return let(F.transform(entries_of(metrics, plugin), lambda m: unique_keys(m["fields"])), merged)
 
 
 def route_batches(batches: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """One row per batch document and resource, with the columns to keep of the document: the fields as JSON (``value``) and
     as a map of variants (``fields``)."""
-    routes = F.inline_outer(let(collector_metrics(F.col(text)), routed))
-    rows = batches.select(*keep, routes.alias("resource_name", "fields"))
-    known = rows.filter(F.col("resource_name").isNotNull())
+    parts = batches.select(*keep, let(collector_metrics(F.col(text)), parted).alias("_parts"))
+    rows = parts.select(*keep, F.inline_outer(routed(F.col("_parts"))).alias("resource_name", "fields"))
+    known = rows.filter(F.col("fields").isNotNull())
     return known.select(*keep, "resource_name", F.to_json("fields").alias("value"), "fields")
 
 
 def routed_events(
     routes: DataFrame, doc_id: str, device_name: Column, profile_name: Column, origin: Column
 ) -> DataFrame:
-    """Routed values as event envelopes (JSON text), one reading each."""
+    """Routed values as event envelopes (JSON text), one reading each.
+
+    A generator holds the text back: merged into the projection of a reader that follows, it would be written by interpreted
+    expressions, since the reader's projection has no generated code.
+    """
     reading = F.struct(
         origin.alias("origin"),
         device_name.alias("deviceName"),
@@ -83,7 +93,7 @@ def routed_events(
         origin.alias("origin"),
         F.array(reading).alias("readings"),
     )
-    return routes.select(doc_id, "resource_name", F.to_json(envelope).alias("event"))
+    return routes.select(doc_id, "resource_name", F.explode(F.array(F.to_json(envelope))).alias("event"))
 
 
 def rename_fields(
